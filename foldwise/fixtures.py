@@ -8,15 +8,28 @@ from __future__ import annotations
 
 from string import ascii_lowercase
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldwise.operators.network import Dense, Network
 from foldwise.schema import Problem
+from foldwise.sources.scratch import stored
 
 LETTERS = Problem(tuple(f"feat_{i}" for i in range(1, 27)), n_classes=4)
 VECTORS = Problem(tuple(f"feat_{i}" for i in range(1, 65)), n_classes=10)
 LANGUAGES = ("de", "en", "es", "fr")
 
+_MADE: dict[tuple[str, str, str], object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, build):
+    """What ``build`` returns, built on first use in this session: stored tables and fitted models."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MADE:
+        _MADE[key] = build()
+    return _MADE[key]
+
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -31,18 +44,26 @@ def _letters(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.alias("t"),
     )
     counts = [
-        (F.length("t") - F.length(F.replace(F.col("t"), F.lit(letter)))).cast("double").alias(f"feat_{i}")
+        (F.octet_length("t") - F.octet_length(F.replace(F.col("t"), F.lit(letter)))).cast("double").alias(f"feat_{i}")
         for i, letter in enumerate(ascii_lowercase, 1)
     ]
     return docs.select("id", "unlabelled", *counts, "target")
 
 
+def _stored_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counted documents as a table of the session, as a user has a table of features.
+
+    Written on first use, split by the flag; every later query scans only the columns it needs.
+    """
+    return once(spark, sf_dir, "letters", lambda: stored(_letters(spark, sf_dir), "letters", ("unlabelled",)))
+
+
 def letters_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _letters(spark, sf_dir).filter(~F.col("unlabelled")).drop("unlabelled")
+    return _stored_letters(spark, sf_dir).filter(~F.col("unlabelled")).drop("unlabelled")
 
 
 def letters_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _letters(spark, sf_dir).filter("unlabelled").drop("unlabelled", "target")
+    return _stored_letters(spark, sf_dir).filter("unlabelled").drop("unlabelled", "target")
 
 
 def vectors_train(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,3 +91,28 @@ def rule_weights(n_inputs: int, n_outputs: int, fold: int, model: int = 0) -> li
         [((31 * k + 17 * j + 7 * fold + 3 * model) % 13 - 6) / 100.0 for k in range(1, n_outputs + 1)]
         for j in range(1, n_inputs + 1)
     ]
+
+
+def rule_hidden(n_inputs: int, n_units: int, fold: int) -> tuple[list[list[float]], list[float]]:
+    """Hidden weights ((13 h + 29 j + 5 fold) mod 11 - 5) / 50 and biases ((7 h) mod 5 - 2) / 10."""
+    weights = [[((13 * h + 29 * j + 5 * fold) % 11 - 5) / 50.0 for h in range(1, n_units + 1)] for j in range(1, n_inputs + 1)]
+    return weights, [((7 * h) % 5 - 2) / 10.0 for h in range(1, n_units + 1)]
+
+
+def linear_networks(problem: Problem, model: int = 0) -> dict[int, Network]:
+    """One softmax layer per fold."""
+    bias = np.zeros(problem.n_classes)
+    return {
+        k: Network((Dense(np.array(rule_weights(len(problem.features), problem.n_classes, k, model)), bias, "softmax"),))
+        for k in problem.folds
+    }
+
+
+def hidden_networks(problem: Problem, n_units: int = 8) -> dict[int, Network]:
+    """One rectified hidden layer and a softmax per fold."""
+    out = {}
+    for k in problem.folds:
+        weights, bias = rule_hidden(len(problem.features), n_units, k)
+        top = np.array(rule_weights(n_units, problem.n_classes, k))
+        out[k] = Network((Dense(np.array(weights), np.array(bias), "relu"), Dense(top, np.zeros(problem.n_classes), "softmax")))
+    return out

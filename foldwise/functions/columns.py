@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def required(value: Column, message: Column | str) -> Column:
     """``value``, or an error where it is NULL."""
     text = F.lit(message) if isinstance(message, str) else message
-    return F.when(value.isNull(), F.raise_error(text)).otherwise(value)
+    return F.coalesce(value, F.raise_error(text))
 
 
 def class_number(label: Column) -> Column:

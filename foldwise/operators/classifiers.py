@@ -21,7 +21,7 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -172,7 +172,7 @@ def fit_boosted(flagged: DataFrame, problem: Problem, options: BoostedOptions =
         y = (F.col("target") == label).cast("double").alias("y", metadata=meta)
         return estimator.fit(rows.select("features", "is_eval", y))
 
-    return BoostedScorer(tuple(concurrently(one_class, problem.labels, parallelism)))
+    return BoostedScorer(tuple(concurrently(flagged.sparkSession, one_class, problem.labels, parallelism)))
 
 
 def fit_network(fit: DataFrame, problem: Problem, scaler, options: NetworkOptions = DNN) -> NetworkScorer:
@@ -200,13 +200,14 @@ def _dense_layers(flat: np.ndarray, sizes: list[int]) -> Network:
     return Network(tuple(layers))
 
 
-def concurrently(function, items, parallelism: int) -> list:
+def concurrently(spark: SparkSession, function, items, parallelism: int) -> list:
     """Independent fits side by side, results in order; the first error is raised."""
     items = list(items)
     if parallelism <= 1:
         return [function(i) for i in items]
+    target = inheritable_thread_target(spark)(function)
     with ThreadPoolExecutor(parallelism) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(function), i) for i in items]]
+        return [f.result() for f in [pool.submit(target, i) for i in items]]
 
 
 def fit_folds(model: str, view: DataFrame, problem: Problem, options, parallelism: int = 1) -> dict[int, object]:
@@ -237,6 +238,6 @@ def fit_folds(model: str, view: DataFrame, problem: Problem, options, parallelis
             raise ValueError(f"model {model!r} is not one of logistic, dnn, xgb, nn")
         # boosted trees already fit their classes side by side
         at_once = max(1, parallelism // problem.n_classes) if model == "xgb" else parallelism
-        return dict(zip(problem.folds, concurrently(one_fold, problem.folds, at_once)))
+        return dict(zip(problem.folds, concurrently(view.sparkSession, one_fold, problem.folds, at_once)))
     finally:
         held.unpersist()

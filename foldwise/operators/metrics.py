@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from foldwise.functions.columns import required
 from foldwise.operators.predict import to_arrays
 from foldwise.schema import EVAL_SCHEMA, METRICS, Problem
+from foldwise.sources.scratch import replacing_only_given_partitions
 
 EPS = 1e-15
 
@@ -161,7 +162,8 @@ def upsert_metrics(source: DataFrame, table: str) -> None:
         *[required(F.col(m), f"metric {m} is NULL").alias(m) for m in METRICS], "model_name", "n_fold"
     )
     # a handful of rows: one file per partition
-    rows.coalesce(1).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    with replacing_only_given_partitions(spark):
+        rows.coalesce(1).write.insertInto(table, overwrite=True)
 
 
 def create_metrics_table(spark, table: str) -> None:

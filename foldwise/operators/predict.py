@@ -31,13 +31,22 @@ def predict(df: DataFrame, scorer: Scorer, n_classes: int) -> DataFrame:
 
 
 def unnest(df: DataFrame, *keys: str, pairs: str = PROBS) -> DataFrame:
-    """One row per (label, prob); rows with an empty array vanish."""
-    return df.select(*keys, F.inline(pairs))
+    """One row per (label, prob); rows with an empty array vanish.
+
+    The array goes into the generator as an expression. For a bare column the optimizer adds a filter
+    on its size, and where the column is computed that repeats the whole computation, models included.
+    """
+    return df.select(*keys, F.inline(F.coalesce(F.col(pairs), F.array())))
+
+
+def long_rows(df: DataFrame, n_classes: int, *keys: str, probs: str = "probs") -> DataFrame:
+    """One row per (label, prob) of an array of probabilities."""
+    return df.select(*keys, F.inline(prob_structs(F.col(probs), n_classes)))
 
 
 def unnest_positions(df: DataFrame, *keys: str, output: str = "output") -> DataFrame:
     """One row per array position, label = position + 1."""
-    exploded = df.select(*keys, F.posexplode(output).alias("_i", "prob"))
+    exploded = df.select(*keys, F.posexplode(F.coalesce(F.col(output), F.array())).alias("_i", "prob"))
     return exploded.select(*keys, (F.col("_i") + 1).cast("bigint").alias("label"), "prob")
 
 
@@ -60,8 +69,7 @@ def oof_arrays(view: DataFrame, scorers: dict[int, Scorer]) -> DataFrame:
 
 
 def oof_predictions(view: DataFrame, scorers: dict[int, Scorer], n_classes: int) -> DataFrame:
-    arrays = oof_arrays(view, scorers)
-    return unnest(arrays.withColumn(PROBS, prob_structs(F.col("probs"), n_classes)), "id", "n_fold", "target")
+    return long_rows(oof_arrays(view, scorers), n_classes, "id", "n_fold", "target")
 
 
 def test_arrays(view: DataFrame, scorers: dict[int, Scorer], n_classes: int) -> DataFrame:
@@ -78,21 +86,21 @@ def test_arrays(view: DataFrame, scorers: dict[int, Scorer], n_classes: int) ->
 
 
 def test_predictions(view: DataFrame, scorers: dict[int, Scorer], n_classes: int) -> DataFrame:
-    arrays = test_arrays(view, scorers, n_classes)
-    return unnest(arrays.withColumn(PROBS, prob_structs(F.col("probs"), n_classes)), "id")
+    return long_rows(test_arrays(view, scorers, n_classes), n_classes, "id")
 
 
 def network_oof(view: DataFrame, networks: dict[int, Network], features) -> DataFrame:
     """Long out-of-fold table of an externally fitted network per fold: one pass, no union."""
     score = fold_output(view.sparkSession, networks)
-    scored = view.select("id", "n_fold", "target", score(doubles(features), F.col("n_fold")).alias("output"))
-    return unnest_positions(scored, "id", "n_fold", "target")
+    scored = view.select("id", "n_fold", "target", score(doubles(features), F.col("n_fold")).alias("probs"))
+    return long_rows(scored, next(iter(networks.values())).n_outputs, "id", "n_fold", "target")
 
 
 def network_test(view: DataFrame, networks: dict[int, Network], features) -> DataFrame:
     """Long test table, mean over the networks of all folds: one pass, no shuffle."""
     mean = mean_output(view.sparkSession, networks)
-    return unnest_positions(view.select("id", mean(doubles(features)).alias("output")), "id")
+    scored = view.select("id", mean(doubles(features)).alias("probs"))
+    return long_rows(scored, next(iter(networks.values())).n_outputs, "id")
 
 
 def label_probs(labels) -> list[Column]:

@@ -11,7 +11,7 @@ from foldwise.operators.classifiers import STACKING_DNN, STACKING_XGB, default_o
 from foldwise.operators.clusters import add_distances, fit_clusters
 from foldwise.operators.metrics import evaluate, upsert_metrics
 from foldwise.operators.predict import oof_predictions, submission, test_predictions
-from foldwise.operators.stacking import renamed, stacking_vectors, train_template
+from foldwise.operators.stacking import renamed, stacking_vectors
 from foldwise.schema import FIRST_LEVEL, OOF_SCHEMA, TEST_SCHEMA, Problem, Variant
 from foldwise.sources.models import Models
 from foldwise.sources.tables import Tables, write_csv
@@ -54,8 +54,11 @@ class StackingRun:
         self.options = options
 
     def load(self, train: DataFrame, test: DataFrame) -> None:
+        """Store the inputs. Labelled rows are also stored by fold, so that a fold's rows are read alone."""
         self.tables.replace(train, "train")
         self.tables.replace(test, "test")
+        rows = labelled(self.tables.read("train"), self.problem)
+        rows.write.mode("overwrite").partitionBy("n_fold").saveAsTable(self.tables.name("train_folds"))
 
     # feature views
 
@@ -83,7 +86,7 @@ class StackingRun:
         return add_distances(view, clusters), self.problem.with_features((*self.problem.features, *clusters.distance_columns))
 
     def train_view(self, log: bool = False, kmeans: bool = False) -> tuple[DataFrame, Problem]:
-        return self._view(labelled(self.tables.read("train"), self.problem), log, kmeans)
+        return self._view(self.tables.read("train_folds"), log, kmeans)
 
     def test_view(self, log: bool = False, kmeans: bool = False) -> tuple[DataFrame, Problem]:
         return self._view(self.tables.read("test"), log, kmeans)
@@ -125,7 +128,8 @@ class StackingRun:
         return renamed({v.test_table: self.tables.read(v.test_table) for v in self.options.variants})
 
     def second_level_view(self) -> DataFrame:
-        return stacking_vectors(train_template(self.tables.read("train"), self.problem), self._oof_tables(), self.problem)
+        template = self.tables.read("train_folds").select("id", "n_fold", "target")
+        return stacking_vectors(template, self._oof_tables(), self.problem)
 
     def second_level_test_view(self) -> DataFrame:
         return stacking_vectors(self.tables.read("test").select("id"), self._test_tables(), self.problem)
@@ -179,10 +183,12 @@ class StackingRun:
             self.predict_oof_second_level(model)
             self.predict_test_second_level(model)
 
+    def submission_tables(self) -> list[str]:
+        first = [v.test_table for v in self.options.variants]
+        return first + [f"{m}_stacking_test_pred" for m in self.options.second_level]
+
     def submissions(self, folder: str) -> list[str]:
-        names = [v.test_table for v in self.options.variants]
-        names += [f"{m}_stacking_test_pred" for m in self.options.second_level]
-        return [self.write_submission(n, folder) for n in names]
+        return [self.write_submission(name, folder) for name in self.submission_tables()]
 
     def run(self, folder: str) -> DataFrame:
         """Everything in order; the first error ends the run. Returns the metrics table."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from foldwise.operators.classifiers import BoostedScorer, LogisticScorer, NetworkScorer
 from foldwise.operators.clusters import Clusters, clusters_table, read_clusters
 from foldwise.operators.network import network_table, read_networks
+from foldwise.sources.scratch import replacing_only_given_partitions
 from foldwise.sources.tables import Tables
 
 _COLUMNS = "kind string, path string, n_parts bigint, description string, model_name string, n_fold bigint"
@@ -33,7 +34,8 @@ class Models:
 
     def _put(self, rows: list[tuple]) -> None:
         frame = self.spark.createDataFrame(rows, _COLUMNS).coalesce(1)
-        frame.write.option("partitionOverwriteMode", "dynamic").insertInto(self.table, overwrite=True)
+        with replacing_only_given_partitions(self.spark):
+            frame.write.insertInto(self.table, overwrite=True)
 
     def list(self, name: str | None = None) -> DataFrame:
         every = self.spark.table(self.table)

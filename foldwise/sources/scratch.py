@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,3 +44,18 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{scratch_dir(spark)}/foldwise/lineage")
+
+
+@contextmanager
+def replacing_only_given_partitions(spark: SparkSession):
+    """Overwriting inserts replace the partitions they write and leave the others.
+
+    ``insertInto`` takes this from the session only, not from a writer option.
+    """
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
