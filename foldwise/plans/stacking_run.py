@@ -52,6 +52,17 @@ class StackingRun:
         self.models = models
         self.problem = problem
         self.options = options
+        self._fitted: dict[str, dict] = {}
+
+    def _keep(self, name: str, scorers: dict) -> None:
+        self.models.save_folds(name, scorers)
+        self._fitted[name] = scorers
+
+    def _scorers(self, name: str) -> dict:
+        """Models fitted by this run, or those an earlier one has saved."""
+        if name not in self._fitted:
+            self._fitted[name] = self.models.load_folds(name)
+        return self._fitted[name]
 
     def load(self, train: DataFrame, test: DataFrame) -> None:
         """Store the inputs. Labelled rows are also stored by fold, so that a fold's rows are read alone."""
@@ -97,7 +108,7 @@ class StackingRun:
         view, problem = self.train_view(variant.log, variant.kmeans)
         options = self.options.of(variant)
         scorers = fit_folds(variant.model, vectors(view, problem.features), problem, options, self.options.parallelism)
-        self.models.save_folds(variant.model_name, scorers)
+        self._keep(variant.model_name, scorers)
 
     def _store_oof(self, long: DataFrame, table: str) -> None:
         self.tables.replace(long, table, OOF_SCHEMA, self.options.buckets)
@@ -107,12 +118,12 @@ class StackingRun:
 
     def predict_oof(self, variant: Variant) -> None:
         view, problem = self.train_view(variant.log, variant.kmeans)
-        scorers = self.models.load_folds(variant.model_name)
+        scorers = self._scorers(variant.model_name)
         self._store_oof(oof_predictions(vectors(view, problem.features), scorers, problem.n_classes), variant.oof_table)
 
     def predict_test(self, variant: Variant) -> None:
         view, problem = self.test_view(variant.log, variant.kmeans)
-        scorers = self.models.load_folds(variant.model_name)
+        scorers = self._scorers(variant.model_name)
         self._store_test(test_predictions(vectors(view, problem.features), scorers, problem.n_classes), variant.test_table)
 
     def evaluate(self, oof_table: str, model_name: str) -> None:
@@ -137,14 +148,14 @@ class StackingRun:
     def fit_second_level(self, model: str) -> None:
         options = self.options.of_second(model)
         scorers = fit_folds(model, self.second_level_view(), self.problem, options, self.options.parallelism)
-        self.models.save_folds(f"{model}_stacking_model", scorers)
+        self._keep(f"{model}_stacking_model", scorers)
 
     def predict_oof_second_level(self, model: str) -> None:
-        scorers = self.models.load_folds(f"{model}_stacking_model")
+        scorers = self._scorers(f"{model}_stacking_model")
         self._store_oof(oof_predictions(self.second_level_view(), scorers, self.problem.n_classes), f"{model}_stacking_oof_pred")
 
     def predict_test_second_level(self, model: str) -> None:
-        scorers = self.models.load_folds(f"{model}_stacking_model")
+        scorers = self._scorers(f"{model}_stacking_model")
         long = test_predictions(self.second_level_test_view(), scorers, self.problem.n_classes)
         self._store_test(long, f"{model}_stacking_test_pred")
 

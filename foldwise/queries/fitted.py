@@ -29,12 +29,12 @@ from foldwise.sources.scratch import scratch_path, stored
 P = fx.LETTERS
 
 OPTIONS = {
-    "logistic": LogisticOptions(max_iter=50),
-    "dnn": NetworkOptions(hidden=(64, 32, 64), max_iter=40),
-    "nn": NetworkOptions(hidden=(64, 64, 64, 64), max_iter=40),
-    "xgb": BoostedOptions(rounds=4, depth=4, rate=0.3),
-    "xgb_stacking": BoostedOptions(rounds=4, depth=3, rate=0.3, min_child=1),
-    "dnn_stacking": NetworkOptions(hidden=(32, 16, 32), max_iter=30),
+    "logistic": LogisticOptions(max_iter=20),
+    "dnn": NetworkOptions(hidden=(32, 16, 32), max_iter=25),
+    "nn": NetworkOptions(hidden=(32, 32, 32, 32), max_iter=40),
+    "xgb": BoostedOptions(rounds=3, depth=3, rate=0.5),
+    "xgb_stacking": BoostedOptions(rounds=3, depth=3, rate=0.5, min_child=1),
+    "dnn_stacking": NetworkOptions(hidden=(16, 8, 16), max_iter=25),
 }
 
 
@@ -218,7 +218,7 @@ def customer_clusters(spark, sf):
 SMALL_RUN = RunOptions(
     variants=(Variant("logistic"), Variant("logistic", True, False), Variant("dnn", True, False)),
     second_level=("xgb",),
-    options={**OPTIONS, "xgb_stacking": BoostedOptions(rounds=2, depth=2, rate=0.3, min_child=1)},
+    options={**OPTIONS, "xgb_stacking": BoostedOptions(rounds=2, depth=2, rate=0.5, min_child=1)},
 )
 
 

@@ -6,14 +6,15 @@ from pyspark.ml.classification import GBTClassificationModel, LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.operators.classifiers import BoostedScorer, LogisticScorer, NetworkScorer
+from foldwise.operators.classifiers import BoostedScorer, LogisticScorer, NetworkScorer, concurrently
 from foldwise.operators.clusters import Clusters, clusters_table, read_clusters
-from foldwise.operators.network import network_table, read_networks
+from foldwise.operators.network import NETWORK_SCHEMA, Network, network_table, read_networks
 from foldwise.sources.scratch import replacing_only_given_partitions
 from foldwise.sources.tables import Tables
 
 _COLUMNS = "kind string, path string, n_parts bigint, description string, model_name string, n_fold bigint"
 NO_FOLD = -1  # one model for all folds
+SIDE_BY_SIDE = 8  # small files written or read at a time
 
 
 class Models:
@@ -57,38 +58,46 @@ class Models:
 
     def save_folds(self, name: str, scorers: dict[int, object], description: str = "") -> None:
         """Save, or replace, the model of every fold."""
-        rows = []
+        rows, files = [], []
         for k, scorer in sorted(scorers.items()):
-            path = f"{self.root}/{name}/fold={k}"
+            path, parts = f"{self.root}/{name}/fold={k}", 1
             if isinstance(scorer, LogisticScorer):
-                kind, parts = "logistic", 1
-                scorer.model.write().overwrite().save(path)
+                kind = "logistic"
+                files.append((scorer.model, path))
             elif isinstance(scorer, BoostedScorer):
                 kind, parts = "boosted", len(scorer.models)
-                for i, model in enumerate(scorer.models):
-                    model.write().overwrite().save(f"{path}/class={i + 1}")
+                files += [(model, f"{path}/class={i}") for i, model in enumerate(scorer.models, 1)]
             elif isinstance(scorer, NetworkScorer):
-                kind, parts = "network", 1
-                network_table(self.spark, {k: scorer.network}).coalesce(1).write.mode("overwrite").parquet(path)
+                kind = "network"
+                files.append((scorer.network, path))
             else:
                 raise TypeError(f"cannot save {type(scorer).__name__}")
             rows.append((kind, path, parts, description, name, k))
+
+        def save(job):
+            model, path = job
+            if isinstance(model, Network):
+                network_table(self.spark, {0: model}).coalesce(1).write.mode("overwrite").parquet(path)
+            else:
+                model.write().overwrite().save(path)
+
+        concurrently(self.spark, save, files, SIDE_BY_SIDE)
         self._put(rows)
 
     def load_folds(self, name: str) -> dict[int, object]:
-        out = {}
-        for r in self._rows(name):
-            path, k = r["path"], int(r["n_fold"])
-            if r["kind"] == "logistic":
-                out[k] = LogisticScorer(LogisticRegressionModel.load(path))
-            elif r["kind"] == "boosted":
-                parts = range(1, r["n_parts"] + 1)
-                out[k] = BoostedScorer(tuple(GBTClassificationModel.load(f"{path}/class={i}") for i in parts))
-            elif r["kind"] == "network":
-                out[k] = NetworkScorer(read_networks(self.spark.read.parquet(path))[k])
-        if not out:
+        rows = self._rows(name)
+        if not rows:
             raise KeyError(f"no model {name}")
-        return out
+
+        def load(r):
+            path = r["path"]
+            if r["kind"] == "logistic":
+                return LogisticScorer(LogisticRegressionModel.load(path))
+            if r["kind"] == "boosted":
+                return BoostedScorer(tuple(GBTClassificationModel.load(f"{path}/class={i}") for i in range(1, r["n_parts"] + 1)))
+            return NetworkScorer(read_networks(self.spark.read.schema(NETWORK_SCHEMA).parquet(path))[0])
+
+        return dict(zip([int(r["n_fold"]) for r in rows], concurrently(self.spark, load, rows, SIDE_BY_SIDE)))
 
     def describe(self, name: str, description: str) -> None:
         rows = [(r["kind"], r["path"], r["n_parts"], description, name, r["n_fold"]) for r in self._rows(name)]
