@@ -38,8 +38,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def r6(expression: str, name: str | None = None) -> str:
-    return f"round({expression}, 6) + 0.0 AS {name or expression}"
+def r6(expression: str, name: str | None = None, digits: int = 6) -> str:
+    return f"round({expression}, {digits}) + 0.0 AS {name or expression}"
 
 
 # WITH letters, train, test, lab

@@ -12,6 +12,7 @@ from foldwise.queries.tables import dataset
 from foldwise.schema import EVAL_SCHEMA, METRICS
 
 P = fx.LETTERS
+D = 10  # ratios of counts can lie exactly between two values at fewer digits
 
 
 def _oof(model: int) -> str:
@@ -44,12 +45,12 @@ _PARTS = """, best AS (
   FROM thr JOIN acc USING (n_fold) JOIN (SELECT n_fold, coalesce(avg(roc_auc), 0.5) AS roc_auc FROM auc GROUP BY n_fold) a USING (n_fold)
 )"""
 
-_SIX = ", ".join(r6(m) for m in METRICS)
+_SIX = ", ".join(r6(m, digits=D) for m in METRICS)
 
 
-@query("log_loss_overall", f"{_oof(2)} SELECT round(avg(-ln(greatest(prob, 1e-15))), 6) + 0.0 AS log_loss FROM oof WHERE label = target")
+@query("log_loss_overall", f"{_oof(2)} SELECT round(avg(-ln(greatest(prob, 1e-15))), {D}) + 0.0 AS log_loss FROM oof WHERE label = target")
 def log_loss_overall(spark, sf):
-    return rounded(log_loss(linear_oof(spark, sf, 2)))
+    return rounded(log_loss(linear_oof(spark, sf, 2)), D)
 
 
 @query("confusion", f"{_oof(2)}{_PARTS} SELECT n_fold, target, predicted, count(*) AS n FROM best GROUP BY ALL")
@@ -59,29 +60,29 @@ def confusion(spark, sf):
 
 @query(
     "threshold_metrics",
-    f"{_oof(2)}{_PARTS} SELECT n_fold, {', '.join(r6(m) for m in METRICS if m != 'roc_auc')} FROM ev",
+    f"{_oof(2)}{_PARTS} SELECT n_fold, {', '.join(r6(m, digits=D) for m in METRICS if m != 'roc_auc')} FROM ev",
 )
 def threshold_metrics_query(spark, sf):
-    return rounded(threshold_metrics(outcomes(linear_oof(spark, sf, 2), P)))
+    return rounded(threshold_metrics(outcomes(linear_oof(spark, sf, 2), P)), D)
 
 
-@query("roc_auc", f"{_oof(2)}{_PARTS} SELECT n_fold, label, {r6('roc_auc')} FROM auc")
+@query("roc_auc", f"{_oof(2)}{_PARTS} SELECT n_fold, label, {r6('roc_auc', digits=D)} FROM auc")
 def roc_auc_query(spark, sf):
-    return rounded(roc_auc(linear_oof(spark, sf, 2)))
+    return rounded(roc_auc(linear_oof(spark, sf, 2)), D)
 
 
 @query("evaluate", f"{_oof(3)}{_PARTS} SELECT 'linear' AS model_name, n_fold, {_SIX} FROM ev")
 def evaluate_query(spark, sf):
-    return rounded(evaluate(linear_oof(spark, sf, 3), "linear", P))
+    return rounded(evaluate(linear_oof(spark, sf, 3), "linear", P), D)
 
 
 _MERGED = f"""{_oof(3)}{_PARTS} SELECT * FROM (
-  SELECT 'a' AS model_name, n_fold, {', '.join(f'CASE WHEN n_fold = 0 THEN 0.0 ELSE round({m}, 6) + 0.0 END AS {m}' for m in METRICS)} FROM ev
+  SELECT 'a' AS model_name, n_fold, {', '.join(f'CASE WHEN n_fold = 0 THEN 0.0 ELSE round({m}, {D}) + 0.0 END AS {m}' for m in METRICS)} FROM ev
   UNION ALL SELECT 'b', n_fold, {_SIX} FROM ev)"""
 
 
 def _rows(spark, sf):
-    rows = rounded(evaluate(linear_oof(spark, sf, 3), "a", P))
+    rows = rounded(evaluate(linear_oof(spark, sf, 3), "a", P), D)
     zeros = rows.filter("n_fold = 0").select("model_name", "n_fold", *[F.lit(0.0).alias(m) for m in METRICS])
     return rows, zeros, rows.withColumn("model_name", F.lit("b"))
 
