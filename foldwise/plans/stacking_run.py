@@ -7,10 +7,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from foldwise.functions.features import feature_columns, labelled
-from foldwise.operators.classifiers import STACKING_DNN, STACKING_XGB, default_options, fit_folds, vectors
+from foldwise.operators.classifiers import STACKING_DNN, STACKING_XGB, concurrently, default_options, fit_folds, vectors
 from foldwise.operators.clusters import add_distances, fit_clusters
 from foldwise.operators.metrics import evaluate, upsert_metrics
-from foldwise.operators.predict import oof_predictions, submission, test_predictions
+from foldwise.operators.predict import oof_predictions, submission, test_predictions, union_all
 from foldwise.operators.stacking import renamed, stacking_vectors
 from foldwise.schema import FIRST_LEVEL, OOF_SCHEMA, TEST_SCHEMA, Problem, Variant
 from foldwise.sources.models import Models
@@ -178,15 +178,20 @@ class StackingRun:
             self.fit(variant)
 
     def predict_all(self) -> None:
-        for variant in self.options.variants:
+        """The tables are independent of each other, so their jobs share the cluster."""
+
+        def both(variant):
             self.predict_oof(variant)
             self.predict_test(variant)
 
+        concurrently(self.tables.spark, both, self.options.variants, self.options.parallelism)
+
     def evaluate_all(self) -> None:
-        for variant in self.options.variants:
-            self.evaluate(variant.oof_table, variant.model_name)
-        for model in self.options.second_level:
-            self.evaluate(f"{model}_stacking_oof_pred", f"{model}_stacking_model")
+        """Metrics of every out-of-fold table, written together."""
+        tables = {v.model_name: v.oof_table for v in self.options.variants}
+        tables |= {f"{m}_stacking_model": f"{m}_stacking_oof_pred" for m in self.options.second_level}
+        rows = [evaluate(self.tables.read(table), name, self.problem) for name, table in tables.items()]
+        upsert_metrics(union_all(rows), self.tables.name("eval"))
 
     def second_level(self) -> None:
         for model in self.options.second_level:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foldwise import fixtures as fx
+from foldwise.operators.classifiers import concurrently
 from foldwise.operators.predict import submission, to_arrays
 from foldwise.operators.stacking import (
     feature_names,
@@ -22,12 +23,17 @@ P = fx.LETTERS
 OOF_NAMES = [v.oof_table for v in FIRST_LEVEL]
 
 
+def _side_by_side(spark, sf, one) -> list:
+    fx.letters_train(spark, sf)
+    return concurrently(spark, lambda i: one(spark, sf, i), range(len(FIRST_LEVEL)), 8)
+
+
 def oof_tables(spark, sf):
-    return {v.oof_table: linear_oof(spark, sf, i) for i, v in enumerate(FIRST_LEVEL)}
+    return dict(zip([v.oof_table for v in FIRST_LEVEL], _side_by_side(spark, sf, linear_oof)))
 
 
 def test_tables(spark, sf):
-    return {v.test_table: linear_test(spark, sf, i) for i, v in enumerate(FIRST_LEVEL)}
+    return dict(zip([v.test_table for v in FIRST_LEVEL], _side_by_side(spark, sf, linear_test)))
 
 
 def _wide(long: str, prefix: str = "") -> str:

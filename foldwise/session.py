@@ -14,6 +14,7 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("foldwise")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")

@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -18,9 +19,10 @@ def scratch_dir(spark: SparkSession) -> str:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="foldwise-")
-    spark.conf.set(_SETTING, made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="foldwise-")
+    return _LOCAL[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
