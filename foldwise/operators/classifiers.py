@@ -118,10 +118,13 @@ class BoostedScorer:
             names.append(f"_v{i}")
             model = fitted.copy().setFeaturesCol("features").setPredictionCol("").setRawPredictionCol("").setProbabilityCol(names[-1])
             scored = model.transform(scored)
+        # one column per step, so that no model and no sum is computed again for the next
         scored = scored.withColumn("_p", F.array(*[vector_to_array(F.col(n))[1] for n in names]))
-        total = F.aggregate("_p", F.lit(0.0), lambda a, b: a + b)
-        scored = scored.withColumn("_s", total)
-        return scored.select(*df.columns, F.transform("_p", lambda p: p / F.col("_s")).alias(out))
+        p, s = F.col("_p"), F.col("_s")
+        classes = range(len(self.models))
+        scored = scored.withColumn("_s", sum((p[i] for i in classes[1:]), p[0]))
+        shares = [F.when(s > 0, p[i] / s).otherwise(F.lit(1.0 / len(classes))) for i in classes]
+        return scored.select(*df.columns, F.array(*shares).alias(out))
 
 
 @dataclass(frozen=True)

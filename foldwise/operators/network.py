@@ -190,7 +190,5 @@ def read_networks(table: DataFrame) -> dict[int, Network]:
 
 def prob_structs(probs: Column, n_classes: int) -> Column:
     """Array of probabilities -> array of (label, prob), labels from 1."""
-    return F.transform(
-        F.arrays_zip(F.sequence(F.lit(1), F.lit(n_classes)).alias("label"), probs.alias("prob")),
-        lambda p: F.struct(p["label"].cast("bigint").alias("label"), p["prob"].alias("prob")),
-    )
+    pairs = [F.struct(F.lit(k).cast("bigint").alias("label"), probs[k - 1].alias("prob")) for k in range(1, n_classes + 1)]
+    return F.array(*pairs)
