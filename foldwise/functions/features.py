@@ -40,6 +40,11 @@ def split_flag(df: DataFrame, fold: int, problem: Problem) -> DataFrame:
     return df.select(is_eval(F.col("id"), fold, problem.n_folds).alias("is_eval"), "target", *problem.features)
 
 
+def repeated_ids(df: DataFrame) -> DataFrame:
+    """Ids that occur more than once; only ids are shuffled, counted on the way."""
+    return df.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def fit_part(df: DataFrame, fold: int) -> DataFrame:
     return df.filter(F.col("n_fold") != fold)
 

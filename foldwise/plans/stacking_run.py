@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from foldwise.functions.features import feature_columns, labelled
+from foldwise.functions.features import feature_columns, labelled, repeated_ids
 from foldwise.operators.classifiers import STACKING_DNN, STACKING_XGB, concurrently, default_options, fit_folds, vectors
 from foldwise.operators.clusters import add_distances, fit_clusters
 from foldwise.operators.metrics import evaluate, upsert_metrics
@@ -65,9 +65,15 @@ class StackingRun:
         return self._fitted[name]
 
     def load(self, train: DataFrame, test: DataFrame) -> None:
-        """Store the inputs. Labelled rows are also stored by fold, so that a fold's rows are read alone."""
+        """Store the inputs. Labelled rows are also stored by fold, so that a fold's rows are read alone.
+
+        An id that occurs twice raises: prediction tables are keyed by it.
+        """
         self.tables.replace(train, "train")
         self.tables.replace(test, "test")
+        for name in ("train", "test"):
+            if not repeated_ids(self.tables.read(name)).isEmpty():
+                raise ValueError(f"table {name} has ids that occur more than once")
         rows = labelled(self.tables.read("train"), self.problem)
         rows.write.mode("overwrite").partitionBy("n_fold").saveAsTable(self.tables.name("train_folds"))
 

@@ -208,11 +208,11 @@ for _log in (False, True):
 
 @query("customer_clusters", f"{_ORDERS} SELECT {_CLUSTERS} FROM counts")
 def customer_clusters(spark, sf):
-    """Customers by their order-line counts, fitted on the two halves as if one were unlabelled."""
+    """Customers by their order-line counts; those with more open than finished lines as the second table."""
     counts = stored(fx.orders_counts(spark, sf), "customers")
-    found = fit_clusters(counts.filter("id % 2 = 0"), counts.filter("id % 2 = 1"), ORDER_FEATURES, log=True)
-    points = all_features(counts.filter("id % 2 = 0"), counts.filter("id % 2 = 1"), ORDER_FEATURES, log=True)
-    return cluster_checks(points, found)
+    finished, unfinished = counts.filter("feat_4 >= feat_5"), counts.filter("feat_4 < feat_5")
+    found = fit_clusters(finished, unfinished, ORDER_FEATURES, log=True)
+    return cluster_checks(all_features(finished, unfinished, ORDER_FEATURES, log=True), found)
 
 
 SMALL_RUN = RunOptions(

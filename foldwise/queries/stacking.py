@@ -76,7 +76,14 @@ def stacking_test_query(spark, sf):
     return rounded(stacking_test(fx.letters_test(spark, sf), test_tables(spark, sf), P))
 
 
-_HOLED = f"(SELECT * FROM {oof_sql(1)} WHERE id % 3 <> 0)"
+_HOLED = f"(SELECT * FROM {oof_sql(1)} WHERE id IN (SELECT doc_id FROM labels))"
+
+
+def holed_tables(spark, sf):
+    """Table a knows every document, table b only those somebody has judged."""
+    judged = fx.load(spark, sf, "labels").select(F.col("doc_id").alias("id"))
+    return {"a": linear_oof(spark, sf, 0), "b": linear_oof(spark, sf, 1).join(judged, "id", "left_semi")}
+
 
 
 @query(
@@ -86,15 +93,13 @@ _HOLED = f"(SELECT * FROM {oof_sql(1)} WHERE id % 3 <> 0)"
 )
 def stacking_left_join_gaps(spark, sf):
     """An id that one table lacks keeps its row and has no value there."""
-    tables = {"a": linear_oof(spark, sf, 0), "b": linear_oof(spark, sf, 1).filter("id % 3 <> 0")}
-    wide = wide_features(train_template(fx.letters_train(spark, sf), P), tables, P)
+    wide = wide_features(train_template(fx.letters_train(spark, sf), P), holed_tables(spark, sf), P)
     return rounded(wide.select("id", "n_fold", "target", "a_Class_1", "b_Class_1"))
 
 
 @query(
     "stacking_missing",
-    f"{BASE} SELECT 'a' AS table_name, 0::BIGINT AS n_missing UNION ALL SELECT 'b', count(*) FILTER (id % 3 = 0) FROM lab",
+    f"{BASE} SELECT 'a' AS table_name, 0::BIGINT AS n_missing UNION ALL SELECT 'b', count(*) FILTER (id NOT IN (SELECT doc_id FROM labels)) FROM lab",
 )
 def stacking_missing(spark, sf):
-    tables = {"a": linear_oof(spark, sf, 0), "b": linear_oof(spark, sf, 1).filter("id % 3 <> 0")}
-    return missing_predictions(train_template(fx.letters_train(spark, sf), P), tables, P)
+    return missing_predictions(train_template(fx.letters_train(spark, sf), P), holed_tables(spark, sf), P)

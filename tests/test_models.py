@@ -22,7 +22,7 @@ def rows(spark):
     for i in range(180):
         k = i % 3 if i % 7 else (i // 7) % 3
         x = rng.normal(loc=(3.0 * k, -2.0 * k), scale=1.0)
-        data.append((i, i % 3 if False else (i // 2) % 3, k + 1, float(x[0]), float(x[1]), 0.1))
+        data.append((i, (i // 2) % 3, k + 1, float(x[0]), float(x[1]), 0.1))
     ddl = "id long, n_fold long, target long, feat_1 double, feat_2 double, feat_3 double"
     return spark.createDataFrame(data, ddl).persist()
 
