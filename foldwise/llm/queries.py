@@ -1,6 +1,9 @@
 """Every query of this subpackage, by name."""
 
-from foldwise.llm import mixing_query  # noqa: F401
+from foldwise.llm import (  # noqa: F401
+    mixing_query,
+    packing_query,
+)
 from foldwise.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
