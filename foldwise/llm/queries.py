@@ -4,6 +4,7 @@ from foldwise.llm import (  # noqa: F401
     lines_query,
     mixing_query,
     packing_query,
+    repeats_query,
     simhash_query,
 )
 from foldwise.llm.registry import ORACLES, QUERIES
