@@ -1,6 +1,7 @@
 """Every query of this subpackage, by name."""
 
 from foldwise.llm import (  # noqa: F401
+    fingerprints_query,
     lines_query,
     mixing_query,
     packing_query,
