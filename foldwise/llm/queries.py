@@ -2,6 +2,7 @@
 
 from foldwise.llm import (  # noqa: F401
     fingerprints_query,
+    language_query,
     lines_query,
     mixing_query,
     packing_query,
