@@ -6,6 +6,7 @@ from foldwise.llm import (  # noqa: F401
     lines_query,
     mixing_query,
     packing_query,
+    quality_query,
     repeats_query,
     simhash_query,
 )
