@@ -9,6 +9,7 @@ from foldwise.llm import (  # noqa: F401
     quality_query,
     repeats_query,
     simhash_query,
+    urls_query,
 )
 from foldwise.llm.registry import ORACLES, QUERIES
 
