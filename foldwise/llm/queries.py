@@ -5,6 +5,7 @@ from foldwise.llm import (  # noqa: F401
     language_query,
     lines_query,
     mixing_query,
+    neighbours_query,
     packing_query,
     quality_query,
     repeats_query,
