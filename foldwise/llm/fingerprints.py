@@ -58,10 +58,10 @@ def likeness(a: str, b: str) -> Column:
     return F.when(F.col(a).isNull() & F.col(b).isNull(), 1.0).when(either, 0.0).otherwise(same / has)
 
 
-def text_form(signature: str, tuples: int = 32) -> Column:
+def text_form(signature: Column, tuples: int = 32) -> Column:
     """Eight hexadecimal digits per entry, ``-`` for one without picks."""
     digits = F.transform(signature, lambda x: F.coalesce(F.lpad(F.right(F.lower(F.hex(x.cast("long"))), F.lit(8)), 8, "0"), F.lit("-")))
-    return F.coalesce(F.concat_ws("", digits), F.lit("-" * tuples))
+    return F.when(signature.isNull(), "-" * tuples).otherwise(F.concat_ws("", digits))
 
 
 def following(ids: DataFrame, per_bucket: int = 100_000) -> DataFrame:
@@ -125,8 +125,8 @@ def compared(docs: DataFrame, k: int = 3, tuples: int = 32, picks: int = 2) -> D
         F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
-        text_form("signature", tuples).alias("fingerprint"),
-        text_form("edited", tuples).alias("edited_fingerprint"),
+        text_form(F.col("signature"), tuples).alias("fingerprint"),
+        text_form(F.col("edited"), tuples).alias("edited_fingerprint"),
         likeness("signature", "edited").alias("near_edited"),
         likeness("signature", "next").alias("near_next"),
     )

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from foldwise.llm.components import components
-from foldwise.llm.simhash import _segment, codeword, fingerprint, first_of_each, links_within, near_duplicates, near_links, neighbours, probe_keys, stored_keys
+from foldwise.llm.simhash import _errors, _segment, codeword, fingerprint, first_of_each, links_within, near_duplicates, near_links, neighbours, probe_keys, stored_keys
 
 
 def plain(text, words=3):
@@ -65,12 +65,12 @@ def test_words_one_bit_apart_share_a_codeword():
 
 
 def _word(index):
-    table = np.zeros(4096, np.uint32)
+    """The codeword of each index: the word that is its own nearest codeword."""
+    pattern, low, high = _errors()
     every = np.arange(1 << 23, dtype=np.uint32)
-    own = codeword(every)
-    exact = np.nonzero(every >> 11 == own)[0]
-    table[own[exact]] = every[exact]
-    return table[index]
+    exact = every[pattern[low[every & 4095] ^ high[every >> 12]] == 0]
+    assert len(exact) == 4096 and (exact >> 11 == np.arange(4096)).all()
+    return exact[index]
 
 
 def test_three_bits_always_meet():
