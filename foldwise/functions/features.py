@@ -10,10 +10,15 @@ from foldwise.schema import Problem
 
 
 def labelled(train: DataFrame, problem: Problem) -> DataFrame:
-    """``id, n_fold, target, features``: text label to number, fold from the id, one projection."""
+    """``id, n_fold, target, features``: text label to number, fold from the id, one projection.
+
+    An id that is NULL or negative has no fold and raises.
+    """
+    key = F.col("id").cast("bigint")
+    known = F.when(key >= 0, key).otherwise(F.raise_error(F.lit("a labelled id is NULL or negative")).cast("bigint"))
     return train.select(
-        F.col("id").cast("bigint").alias("id"),
-        fold_number(F.col("id"), problem.n_folds).alias("n_fold"),
+        known.alias("id"),
+        fold_number(known, problem.n_folds).alias("n_fold"),
         class_number(F.col("target")).alias("target"),
         *problem.features,
     )

@@ -23,7 +23,6 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from foldwise.functions.columns import required
 from foldwise.functions.features import fit_part
@@ -204,43 +203,48 @@ def _dense_layers(flat: np.ndarray, sizes: list[int]) -> Network:
 
 
 def concurrently(spark: SparkSession, function, items, parallelism: int) -> list:
-    """Independent fits side by side, results in order; the first error is raised."""
+    """Independent fits side by side, results in order; the first error is raised and what has not begun is dropped.
+
+    The thread target copies the job properties when it is made, so each item gets one of its own: threads that
+    shared one would overwrite each other's properties, such as the id of the statement they belong to.
+    """
     items = list(items)
     if parallelism <= 1:
         return [function(i) for i in items]
-    target = inheritable_thread_target(spark)(function)
     with ThreadPoolExecutor(parallelism) as pool:
-        return [f.result() for f in [pool.submit(target, i) for i in items]]
+        running = [pool.submit(inheritable_thread_target(spark)(function), i) for i in items]
+        try:
+            return [f.result() for f in running]
+        except BaseException:
+            for f in running:
+                f.cancel()
+            raise
 
 
 def fit_folds(model: str, view: DataFrame, problem: Problem, options, parallelism: int = 1) -> dict[int, object]:
     """One scorer per fold, each fitted on the rows of the other folds.
 
-    ``view`` is a ``vectors`` frame; it is held in memory and on disk while the folds are fitted, and
-    rebuilt from its source wherever an executor is lost.
+    ``view`` is a ``vectors`` frame, best one stored by fold: a fold's fit then reads the directories of the other
+    folds. Estimators keep their own converted copy while they run, so nothing is held here beside it.
     """
-    held = view.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if model == "xgb":
+    if model == "xgb":
 
-            def one_fold(k):
-                return fit_boosted(held.withColumn("is_eval", F.col("n_fold") == k), problem, options, parallelism)
+        def one_fold(k):
+            return fit_boosted(view.withColumn("is_eval", F.col("n_fold") == k), problem, options, parallelism)
 
-        elif model == "logistic":
+    elif model == "logistic":
 
-            def one_fold(k):
-                return fit_logistic(fit_part(held, k), problem, options)
+        def one_fold(k):
+            return fit_logistic(fit_part(view, k), problem, options)
 
-        elif model in ("dnn", "nn"):
-            scalers = collect_scaler(fit_scaler(held, problem, F.col("features")))
+    elif model in ("dnn", "nn"):
+        scalers = collect_scaler(fit_scaler(view, problem, F.col("features")))
 
-            def one_fold(k):
-                return fit_network(fit_part(held, k), problem, scalers[k], options)
+        def one_fold(k):
+            return fit_network(fit_part(view, k), problem, scalers[k], options)
 
-        else:
-            raise ValueError(f"model {model!r} is not one of logistic, dnn, xgb, nn")
-        # boosted trees already fit their classes side by side
-        at_once = max(1, parallelism // problem.n_classes) if model == "xgb" else parallelism
-        return dict(zip(problem.folds, concurrently(view.sparkSession, one_fold, problem.folds, at_once)))
-    finally:
-        held.unpersist()
+    else:
+        raise ValueError(f"model {model!r} is not one of logistic, dnn, xgb, nn")
+    # boosted trees already fit their classes side by side
+    at_once = max(1, parallelism // problem.n_classes) if model == "xgb" else parallelism
+    return dict(zip(problem.folds, concurrently(view.sparkSession, one_fold, problem.folds, at_once)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from foldwise.functions.columns import required
 from foldwise.operators.predict import to_arrays
 from foldwise.schema import EVAL_SCHEMA, METRICS, Problem
-from foldwise.sources.scratch import replacing_only_given_partitions
+from foldwise.sources.scratch import replace_partitions
 
 EPS = 1e-15
 
@@ -125,15 +125,15 @@ def roc_auc(oof: DataFrame, buckets: int = 64) -> DataFrame:
     return shifted.groupBy(*group).agg(F.when(pairs > 0, area / pairs).alias("roc_auc"))
 
 
-def evaluate(oof: DataFrame, model_name: str, problem: Problem) -> DataFrame:
+def evaluate(oof: DataFrame, model_name: str, problem: Problem, buckets: int = 64) -> DataFrame:
     """One row per fold with all six metrics, in the shape of the metrics table.
 
     ROC AUC is the mean over classes that have both positive and negative rows; a fold where no
-    class has both gets 0.5, the value of an uninformative score. ``oof`` is read three times, so
-    give it a stored table.
+    class has both gets 0.5, the value of an uninformative score. ``buckets`` cut each class as in
+    ``roc_auc``. ``oof`` is read three times, so give it a stored table.
     """
     thresholds = threshold_metrics(outcomes(oof, problem))
-    areas = roc_auc(oof).groupBy("n_fold").agg(F.coalesce(F.avg("roc_auc"), F.lit(0.5)).alias("roc_auc"))
+    areas = roc_auc(oof, buckets).groupBy("n_fold").agg(F.coalesce(F.avg("roc_auc"), F.lit(0.5)).alias("roc_auc"))
     return thresholds.join(areas, "n_fold").select(F.lit(model_name).alias("model_name"), "n_fold", *METRICS)
 
 
@@ -162,8 +162,7 @@ def upsert_metrics(source: DataFrame, table: str) -> None:
         *[required(F.col(m), f"metric {m} is NULL").alias(m) for m in METRICS], "model_name", "n_fold"
     )
     # a handful of rows: one file per partition
-    with replacing_only_given_partitions(spark):
-        rows.coalesce(1).write.insertInto(table, overwrite=True)
+    replace_partitions(spark, [tuple(r) for r in rows.collect()], rows.schema, table)
 
 
 def create_metrics_table(spark, table: str) -> None:

@@ -60,11 +60,17 @@ def mean_over_folds(long: DataFrame) -> DataFrame:
 
 
 def oof_arrays(view: DataFrame, scorers: dict[int, Scorer]) -> DataFrame:
-    """``id, n_fold, target, probs``: every row scored once, by the model that did not train on it."""
+    """``id, n_fold, target, probs``: every row scored once, by the model that did not train on it.
+
+    A row of a fold without a model raises. From a view stored by fold, that part reads no file.
+    """
     parts = [
         scorer.probabilities(eval_part(view, k), "probs").select("id", "n_fold", "target", "probs")
         for k, scorer in sorted(scorers.items())
     ]
+    unknown = view.filter(~F.coalesce(F.col("n_fold").isin(*scorers), F.lit(False)))
+    message = F.concat(F.lit("no model for fold "), F.coalesce(F.col("n_fold").cast("string"), F.lit("NULL")))
+    parts.append(unknown.select("id", "n_fold", "target", F.raise_error(message).cast("array<double>").alias("probs")))
     return union_all(parts)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from foldwise.functions.features import feature_columns, labelled, repeated_ids
 from foldwise.operators.classifiers import STACKING_DNN, STACKING_XGB, concurrently, default_options, fit_folds, vectors
@@ -12,21 +13,25 @@ from foldwise.operators.clusters import add_distances, fit_clusters
 from foldwise.operators.metrics import evaluate, upsert_metrics
 from foldwise.operators.predict import oof_predictions, submission, test_predictions, union_all
 from foldwise.operators.stacking import renamed, stacking_vectors
-from foldwise.schema import FIRST_LEVEL, OOF_SCHEMA, TEST_SCHEMA, Problem, Variant
+from foldwise.schema import FIRST_LEVEL, OOF_SCHEMA, TEST_SCHEMA, VIEWS, Problem, Variant
 from foldwise.sources.models import Models
 from foldwise.sources.tables import Tables, write_csv
 
 
 @dataclass(frozen=True)
 class RunOptions:
-    """``options`` overrides estimator options per variant name or per model; the rest are defaults."""
+    """``options`` overrides estimator options per variant name or per model; the rest are defaults.
+
+    Without ``buckets``, prediction tables get one for every ``ids_per_bucket`` ids of the larger input.
+    """
 
     variants: tuple[Variant, ...] = FIRST_LEVEL
     second_level: tuple[str, ...] = ("xgb", "dnn")
     n_clusters: int = 5
     cluster_iterations: int = 50
     parallelism: int = 8
-    buckets: int = 8
+    buckets: int | None = None
+    ids_per_bucket: int = 500_000
     options: dict = field(default_factory=dict)
 
     def of(self, variant: Variant):
@@ -43,8 +48,8 @@ class StackingRun:
     """Steps read and write tables of one dataset, so each can be repeated after a failure.
 
     Prediction tables are stored in buckets of ``id``: the second level and the submissions then
-    group and join them without a shuffle. Choose ``buckets`` so that a bucket of the largest table
-    fits an executor's memory comfortably.
+    group and join them without a shuffle. Feature views are stored once, by fold, and shared by fits and
+    scoring; so is the second-level view.
     """
 
     def __init__(self, tables: Tables, models: Models, problem: Problem, options: RunOptions = RunOptions()):
@@ -53,6 +58,14 @@ class StackingRun:
         self.problem = problem
         self.options = options
         self._fitted: dict[str, dict] = {}
+        self._buckets: int | None = options.buckets
+
+    @property
+    def buckets(self) -> int:
+        if self._buckets is None:
+            largest = max(self.tables.read(t).count() for t in ("train_folds", "test"))
+            self._buckets = max(1, -(-largest // self.options.ids_per_bucket))
+        return self._buckets
 
     def _keep(self, name: str, scorers: dict) -> None:
         self.models.save_folds(name, scorers)
@@ -65,17 +78,25 @@ class StackingRun:
         return self._fitted[name]
 
     def load(self, train: DataFrame, test: DataFrame) -> None:
-        """Store the inputs. Labelled rows are also stored by fold, so that a fold's rows are read alone.
+        """Store the inputs, labelled rows by fold, so that a fold's rows are read alone.
 
-        An id that occurs twice raises: prediction tables are keyed by it.
+        Ids that are NULL, negative or occur twice raise before any table is replaced: prediction tables are keyed by
+        them, and a labelled one gives the fold.
         """
-        self.tables.replace(train, "train")
-        self.tables.replace(test, "test")
-        for name in ("train", "test"):
-            if not repeated_ids(self.tables.read(name)).isEmpty():
+        for name, frame in (("train", train), ("test", test)):
+            if not frame.filter("id IS NULL OR id < 0").isEmpty():
+                raise ValueError(f"table {name} has ids that are NULL or negative")
+            if not repeated_ids(frame).isEmpty():
                 raise ValueError(f"table {name} has ids that occur more than once")
-        rows = labelled(self.tables.read("train"), self.problem)
-        rows.write.mode("overwrite").partitionBy("n_fold").saveAsTable(self.tables.name("train_folds"))
+        for name in self._views():
+            self.tables.delete(name)
+        self._buckets = self.options.buckets
+        self.tables.replace(test, "test")
+        rows = labelled(train, self.problem)
+        rows.repartition("n_fold", F.pmod(F.xxhash64("id"), F.lit(self.options.parallelism))).write.mode("overwrite").partitionBy("n_fold").saveAsTable(self.tables.name("train_folds"))
+
+    def _views(self) -> list[str]:
+        return [*(self.view_name(log, kmeans) for log, kmeans in VIEWS), "view_second_level"]
 
     # feature views
 
@@ -84,8 +105,10 @@ class StackingRun:
         return "kmeans_log_model" if log else "kmeans_model"
 
     def fit_clusters(self, log: bool) -> None:
+        for stale in (self.view_name(log, True), "view_second_level"):
+            self.tables.delete(stale)
         found = fit_clusters(
-            self.tables.read("train"),
+            self.tables.read("train_folds"),
             self.tables.read("test"),
             self.problem.features,
             k=self.options.n_clusters,
@@ -102,6 +125,22 @@ class StackingRun:
         clusters = self.models.load_clusters(self.clusters_name(log))
         return add_distances(view, clusters), self.problem.with_features((*self.problem.features, *clusters.distance_columns))
 
+    @staticmethod
+    def view_name(log: bool, kmeans: bool) -> str:
+        return "view" + ("_kmeans" if kmeans else "") + ("_log" if log else "")
+
+    def _by_fold(self, view: DataFrame, name: str) -> DataFrame:
+        view.write.mode("overwrite").partitionBy("n_fold").saveAsTable(self.tables.name(name))
+        return self.tables.read(name)
+
+    def train_vectors(self, log: bool = False, kmeans: bool = False) -> tuple[DataFrame, Problem]:
+        """The view as vectors, stored by fold on first use."""
+        view, problem = self.train_view(log, kmeans)
+        name = self.view_name(log, kmeans)
+        if self.tables.exists(name):
+            return self.tables.read(name), problem
+        return self._by_fold(vectors(view, problem.features), name), problem
+
     def train_view(self, log: bool = False, kmeans: bool = False) -> tuple[DataFrame, Problem]:
         return self._view(self.tables.read("train_folds"), log, kmeans)
 
@@ -111,21 +150,27 @@ class StackingRun:
     # first level
 
     def fit(self, variant: Variant) -> None:
-        view, problem = self.train_view(variant.log, variant.kmeans)
-        options = self.options.of(variant)
-        scorers = fit_folds(variant.model, vectors(view, problem.features), problem, options, self.options.parallelism)
+        view, problem = self.train_vectors(variant.log, variant.kmeans)
+        scorers = fit_folds(variant.model, view, problem, self.options.of(variant), self.options.parallelism)
         self._keep(variant.model_name, scorers)
 
     def _store_oof(self, long: DataFrame, table: str) -> None:
-        self.tables.replace(long, table, OOF_SCHEMA, self.options.buckets)
+        self.tables.replace(long, table, OOF_SCHEMA, self.buckets)
 
     def _store_test(self, long: DataFrame, table: str) -> None:
-        self.tables.replace(long, table, TEST_SCHEMA, self.options.buckets)
+        self.tables.replace(long, table, TEST_SCHEMA, self.buckets)
 
     def predict_oof(self, variant: Variant) -> None:
-        view, problem = self.train_view(variant.log, variant.kmeans)
-        scorers = self._scorers(variant.model_name)
-        self._store_oof(oof_predictions(vectors(view, problem.features), scorers, problem.n_classes), variant.oof_table)
+        view, problem = self.train_vectors(variant.log, variant.kmeans)
+        scorers = self._checked(variant.model_name)
+        self.tables.delete("view_second_level")
+        self._store_oof(oof_predictions(view, scorers, problem.n_classes), variant.oof_table)
+
+    def _checked(self, name: str) -> dict:
+        scorers = self._scorers(name)
+        if sorted(scorers) != list(self.problem.folds):
+            raise ValueError(f"model {name} has folds {sorted(scorers)}, not {list(self.problem.folds)}")
+        return scorers
 
     def predict_test(self, variant: Variant) -> None:
         view, problem = self.test_view(variant.log, variant.kmeans)
@@ -145,6 +190,12 @@ class StackingRun:
         return renamed({v.test_table: self.tables.read(v.test_table) for v in self.options.variants})
 
     def second_level_view(self) -> DataFrame:
+        """The joined first-level tables, stored by fold on first use: fits and out-of-fold scoring join nothing again."""
+        if self.tables.exists("view_second_level"):
+            return self.tables.read("view_second_level")
+        return self._by_fold(self.joined_first_level(), "view_second_level")
+
+    def joined_first_level(self) -> DataFrame:
         template = self.tables.read("train_folds").select("id", "n_fold", "target")
         return stacking_vectors(template, self._oof_tables(), self.problem)
 
@@ -157,7 +208,7 @@ class StackingRun:
         self._keep(f"{model}_stacking_model", scorers)
 
     def predict_oof_second_level(self, model: str) -> None:
-        scorers = self._scorers(f"{model}_stacking_model")
+        scorers = self._checked(f"{model}_stacking_model")
         self._store_oof(oof_predictions(self.second_level_view(), scorers, self.problem.n_classes), f"{model}_stacking_oof_pred")
 
     def predict_test_second_level(self, model: str) -> None:
@@ -185,6 +236,8 @@ class StackingRun:
 
     def predict_all(self) -> None:
         """The tables are independent of each other, so their jobs share the cluster."""
+        for log, kmeans in sorted({(v.log, v.kmeans) for v in self.options.variants}):
+            self.train_vectors(log, kmeans)  # not by several at once
 
         def both(variant):
             self.predict_oof(variant)

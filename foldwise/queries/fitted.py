@@ -1,8 +1,8 @@
 """Fitted models. Their numbers depend on seeds and on the order of sums, so what is compared are
 properties: which rows a table has, that probabilities are probabilities, that a model has learnt.
 
-All of them share one run per input folder. The estimators get fewer rounds than their defaults; the
-rows are always all rows.
+All of them share one run per input folder. Logistic models and networks are fitted with their own options; boosted
+trees, one ensemble per class and fold, get fewer rounds than their defaults. The rows are always all rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from foldwise import fixtures as fx
 from foldwise.functions.features import all_features
-from foldwise.operators.classifiers import BoostedOptions, LogisticOptions, NetworkOptions, vectors
+from foldwise.operators.classifiers import BoostedOptions, vectors
 from foldwise.operators.clusters import fit_clusters, predict_clusters
 from foldwise.operators.metrics import evaluate
 from foldwise.operators.predict import oof_predictions
@@ -29,12 +29,8 @@ from foldwise.sources.scratch import scratch_path, stored
 P = fx.LETTERS
 
 OPTIONS = {
-    "logistic": LogisticOptions(max_iter=20),
-    "dnn": NetworkOptions(hidden=(32, 16, 32), max_iter=25),
-    "nn": NetworkOptions(hidden=(32, 32, 32, 32), max_iter=40),
     "xgb": BoostedOptions(rounds=3, depth=3, rate=0.5),
     "xgb_stacking": BoostedOptions(rounds=3, depth=3, rate=0.5, min_child=1),
-    "dnn_stacking": NetworkOptions(hidden=(16, 8, 16), max_iter=25),
 }
 
 
@@ -202,7 +198,7 @@ for _log in (False, True):
     @query("clusters_log" if _log else "clusters", f"SELECT {_CLUSTERS} FROM documents")
     def _cluster_query(spark, sf, log=_log):
         run = clusters(spark, sf, log)
-        points = all_features(run.tables.read("train"), run.tables.read("test"), P.features, log)
+        points = all_features(run.tables.read("train_folds"), run.tables.read("test"), P.features, log)
         return cluster_checks(points, run.models.load_clusters(run.clusters_name(log)))
 
 

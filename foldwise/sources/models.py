@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from foldwise.operators.classifiers import BoostedScorer, LogisticScorer, NetworkScorer, concurrently
 from foldwise.operators.clusters import Clusters, clusters_table, read_clusters
 from foldwise.operators.network import NETWORK_SCHEMA, Network, network_table, read_networks
-from foldwise.sources.scratch import replacing_only_given_partitions
+from foldwise.sources.scratch import remove, replace_partitions
 from foldwise.sources.tables import Tables
 
 _COLUMNS = "kind string, path string, n_parts bigint, description string, model_name string, n_fold bigint"
@@ -34,9 +34,7 @@ class Models:
         )
 
     def _put(self, rows: list[tuple]) -> None:
-        frame = self.spark.createDataFrame(rows, _COLUMNS).coalesce(1)
-        with replacing_only_given_partitions(self.spark):
-            frame.write.insertInto(self.table, overwrite=True)
+        replace_partitions(self.spark, rows, _COLUMNS, self.table)
 
     def list(self, name: str | None = None) -> DataFrame:
         every = self.spark.table(self.table)
@@ -106,12 +104,13 @@ class Models:
         self._put(rows)
 
     def delete(self, name: str) -> bool:
-        """Forget a model; False if there was none. Its files are overwritten by the next of that name."""
+        """Forget a model of all folds, then delete its files; False if there was none."""
         rows = self._rows(name)
+        quoted = name.replace("\\", "\\\\").replace("'", "\\'")
         for r in rows:
-            self.spark.sql(
-                f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (model_name = '{name}', n_fold = {r['n_fold']})"
-            )
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (model_name = '{quoted}', n_fold = {r['n_fold']})")
+        for r in rows:
+            remove(self.spark, r["path"])
         return bool(rows)
 
 

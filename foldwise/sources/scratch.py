@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,16 +47,25 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(f"{scratch_dir(spark)}/foldwise/lineage")
 
 
-@contextmanager
-def replacing_only_given_partitions(spark: SparkSession):
-    """Overwriting inserts replace the partitions they write and leave the others.
+def replace_partitions(spark: SparkSession, rows: list, schema, table: str) -> None:
+    """Write a handful of rows over the partitions they belong to; the other partitions stay.
 
-    ``insertInto`` takes this from the session only, not from a writer option.
+    ``insertInto`` takes this mode from the session only. A session of its own shares the catalog and leaves the
+    caller's settings, and those of other writers, alone.
     """
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.createDataFrame(rows, schema).coalesce(1).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through the file system it is in; False if there was none."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True))
+
+
+def discard_scratch(spark: SparkSession) -> bool:
+    """Delete every intermediate table written here; call it when no frame that reads them is used any more."""
+    return remove(spark, f"{scratch_dir(spark)}/foldwise")

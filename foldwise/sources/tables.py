@@ -55,9 +55,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, mode="FAILFAST")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Submission files sorted by id across files; parts stay apart, nothing is pulled together."""
-    df.orderBy("id").write.mode("overwrite").csv(path, header=True)
+def write_csv(df: DataFrame, path: str, ordered: bool = False) -> None:
+    """Submission files, each sorted by id; parts stay apart, nothing is pulled together.
+
+    ``ordered`` also sorts across files, at the price of a shuffle and of computing ``df`` once more for its ranges.
+    """
+    rows = df.orderBy("id") if ordered else df.sortWithinPartitions("id")
+    rows.write.mode("overwrite").csv(path, header=True)
 
 
 class Tables:
@@ -91,6 +95,8 @@ class Tables:
         """
         schema = schema_of(setting["schema"]["fields"])
         field = (setting.get("timePartitioning") or {}).get("field")
+        if "timePartitioning" in setting and not field:
+            raise ValueError("timePartitioning needs a field: there is no time of arrival to partition by")
         clustered = (setting.get("clustering") or {}).get("fields")
         # REQUIRED is remembered in the column comment: the stored table reports every column as nullable
         columns = ", ".join(

@@ -1,11 +1,14 @@
 """Plans of a run, and what it refuses. ``check.py whole_run`` runs all steps on the given tables."""
 
 import re
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
-from foldwise.operators.classifiers import LogisticOptions, NetworkOptions, vectors
+from foldwise.operators.classifiers import BoostedOptions, LogisticOptions, NetworkOptions, concurrently, fit_folds, vectors
+from foldwise.functions.features import fit_part, labelled
+from foldwise.operators.metrics import upsert_metrics
 from foldwise.operators.predict import oof_predictions, test_predictions as predict_test
 from foldwise.plans.stacking_run import RunOptions, StackingRun
 from foldwise.queries.tables import dataset
@@ -17,10 +20,10 @@ P = Problem(("feat_1", "feat_2"), n_classes=2, n_folds=2)
 VARIANTS = (Variant("logistic"), Variant("logistic", True))
 OPTIONS = RunOptions(
     variants=VARIANTS,
-    second_level=("dnn",),
+    second_level=("dnn", "xgb"),
     parallelism=4,
     buckets=3,
-    options={"logistic": LogisticOptions(l1=0.0, l2=0.01, max_iter=5), "dnn_stacking": NetworkOptions(hidden=(3,), max_iter=5)},
+    options={"logistic": LogisticOptions(l1=0.0, l2=0.01, max_iter=5), "dnn_stacking": NetworkOptions(hidden=(3,), max_iter=5), "xgb_stacking": BoostedOptions(rounds=2, depth=2)},
 )
 
 
@@ -52,7 +55,7 @@ def test_a_run_end_to_end(spark, run):
     metrics = run.run(folder)
     assert sorted(metrics.columns) == sorted(EVAL_SCHEMA.names)
     assert {(r.model_name, r.n_fold) for r in metrics.collect()} == {
-        (m, k) for m in ("logistic_model", "logistic_log_model", "dnn_stacking_model") for k in (0, 1)
+        (m, k) for m in ("logistic_model", "logistic_log_model", "dnn_stacking_model", "xgb_stacking_model") for k in (0, 1)
     }
     for name in run.submission_tables():
         rows = spark.read.csv(f"{folder}/{name}_sub", header=True).collect()
@@ -82,7 +85,7 @@ def test_second_level_features_do_not_shuffle_stored_predictions(spark, run):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(run.second_level_view())
+        text = plan(run.joined_first_level())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert text.count("SortMergeJoin") == 2
@@ -96,3 +99,92 @@ def test_repeated_ids_are_refused(spark, inputs):
     run = StackingRun(tables, Models(tables, scratch_path(spark, "models")), P, OPTIONS)
     with pytest.raises(ValueError, match="test has ids that occur more than once"):
         run.load(train, test.unionByName(test))
+
+
+def test_second_level_scores_from_one_stored_view(run):
+    scorers = run._scorers("dnn_stacking_model")
+    text = plan(oof_predictions(run.second_level_view(), scorers, 2))
+    assert "Join" not in text and "Exchange" not in text
+    assert {*re.findall(r"FileScan parquet (\S+)\[", text)} == {f"spark_catalog.{run.tables.dataset}.view_second_level"}
+
+
+def test_a_fold_is_fitted_on_the_directories_of_the_others(run):
+    view, _ = run.train_vectors()
+    read = {f.rsplit("/", 2)[-2] for f in fit_part(view, 1).inputFiles()}
+    assert read == {"n_fold=0"}
+
+
+def test_bad_ids_are_refused_before_anything_is_replaced(spark, run, inputs):
+    train, test = inputs
+    before = run.tables.read("train_folds").count()
+    for bad in (-3, None):
+        row = spark.createDataFrame([(bad, 1.0, 2.0, "Class_1")], "id long, feat_1 double, feat_2 double, target string")
+        with pytest.raises(ValueError, match="train has ids that are NULL or negative"):
+            run.load(train.unionByName(row), test)
+        with pytest.raises(Exception, match="a labelled id is NULL or negative"):
+            labelled(row, P).collect()
+    assert run.tables.read("train_folds").count() == before
+    ids = {r.id for r in run.tables.read("logistic_oof_pred").select("id").collect()}
+    assert ids == {r.id for r in train.select("id").collect()}
+
+
+def test_rows_and_models_of_unknown_folds_raise(spark, run):
+    scorers = run._scorers("logistic_model")
+    view, _ = run.train_vectors()
+    for fold in (7, None):
+        odd = view.limit(1).withColumn("n_fold", F.lit(fold).cast("bigint"))
+        with pytest.raises(Exception, match="no model for fold"):
+            oof_predictions(view.unionByName(odd), scorers, 2).collect()
+    run._fitted["half_model"] = {0: scorers[0]}
+    with pytest.raises(ValueError, match="has folds"):
+        run._checked("half_model")
+
+
+def test_buckets_follow_the_ids(run):
+    options = RunOptions(variants=VARIANTS, ids_per_bucket=20)
+    assert StackingRun(run.tables, run.models, P, options).buckets == 3
+
+
+def test_models_are_deleted_with_their_files(spark, run):
+    name = "it's a model"
+    run.models.save_folds(name, run._scorers("logistic_model"))
+    path = run.models.list(name).first()["path"]
+    assert spark.read.parquet(f"{path}/data").count() == 1
+    assert run.models.delete(name) and not run.models.delete(name)
+    assert run.models.list(name).isEmpty()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{path}/data")
+
+
+def test_threads_have_job_properties_of_their_own(spark):
+    begun = Barrier(2)
+
+    def work(i):
+        spark.sparkContext.setLocalProperty("foldwise.test", str(i))
+        begun.wait(20)
+        return spark.sparkContext.getLocalProperty("foldwise.test")
+
+    assert concurrently(spark, work, range(2), 2) == ["0", "1"]
+
+
+def test_saves_fits_and_upserts_side_by_side(spark, run):
+    """Different models written at once stay complete, and the session's setting is left alone."""
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    scorers = run._scorers("logistic_model")
+    rows = run.tables.read("eval").filter("model_name = 'logistic_model'").collect()
+    metrics = spark.createDataFrame([r.asDict() for r in rows], EVAL_SCHEMA)
+    view, problem = run.train_vectors()
+
+    def work(i):
+        if i % 3 == 0:
+            run.models.save_folds(f"m{i}", scorers)
+        elif i % 3 == 1:
+            upsert_metrics(metrics.withColumn("model_name", F.lit(f"m{i}")), run.tables.name("eval"))
+        else:
+            fit_folds("logistic", view, problem, LogisticOptions(max_iter=2), 2)
+        return spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+
+    assert {*concurrently(spark, work, range(12), 6)} == {mode}
+    assert run.tables.read("eval").filter("model_name LIKE 'm%'").count() == 8
+    assert run.models.list().filter("model_name LIKE 'm%'").count() == 8
+    assert run.tables.read("eval").filter("model_name NOT LIKE 'm%'").count() == 8
