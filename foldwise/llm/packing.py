@@ -14,7 +14,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -183,9 +182,14 @@ def _split(text: str) -> list[str]:
     return [w.decode() for w in text.encode().split()] if _MORE_BLANKS(text) else text.split()
 
 
-@cache
 def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+    """One per worker process. Functions travel by value, so what this module held would be new with every task."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_kept_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> DataFrame:
