@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from foldwise import fixtures as fx
 from foldwise.functions.features import all_features
-from foldwise.operators.classifiers import BoostedOptions, vectors
+from foldwise.operators.classifiers import BoostedOptions, NetworkScorer, vectors
 from foldwise.operators.clusters import fit_clusters, predict_clusters
 from foldwise.operators.metrics import evaluate
 from foldwise.operators.predict import oof_predictions
@@ -24,7 +24,7 @@ from foldwise.queries.features import ORDER_FEATURES, _ORDERS, lab
 from foldwise.queries.tables import dataset
 from foldwise.schema import FIRST_LEVEL, METRICS, Variant
 from foldwise.sources.models import Models
-from foldwise.sources.scratch import scratch_path, stored
+from foldwise.sources.scratch import remove, scratch_path, stored
 
 P = fx.LETTERS
 
@@ -171,6 +171,25 @@ def saved_models(spark, sf):
     return listed.join(counts, "n_fold").select("n_fold", "kind", "description", "n", "n_different")
 
 
+@query(
+    "deleted_model",
+    f"{BASE} SELECT n_fold, count(*) AS n, true AS listed_before, false AS listed_after, false AS files_after FROM lab GROUP BY n_fold",
+)
+def deleted_model(spark, sf):
+    """Given networks saved under a name with a quote, scored after loading, and deleted with their files."""
+    tables = dataset(spark)
+    models, name = Models(tables, scratch_path(spark, "models")), "somebody's model"
+    models.save_folds(name, {k: NetworkScorer(n) for k, n in fx.linear_networks(P).items()})
+    rows = lab(spark, sf)
+    scored = oof_predictions(vectors(rows, P.features), models.load_folds(name), P.n_classes)
+    counts = stored(scored.groupBy("n_fold").agg(F.count_distinct("id").alias("n")), "scored")
+    before = {r["n_fold"]: r["path"] for r in models.list(name).collect()}
+    models.delete(name)
+    after = {r["n_fold"] for r in models.list(name).collect()}
+    checks = [(k, True, k in after, remove(spark, path)) for k, path in before.items()]
+    return counts.join(spark.createDataFrame(checks, "n_fold long, listed_before boolean, listed_after boolean, files_after boolean"), "n_fold")
+
+
 def cluster_checks(points: DataFrame, found) -> DataFrame:
     """One row: ids in range, nearest really nearest, and spread below that of a single cluster."""
     pairs = F.col("NEAREST_CENTROIDS_DISTANCE")
@@ -211,26 +230,28 @@ def customer_clusters(spark, sf):
     return cluster_checks(all_features(finished, unfinished, ORDER_FEATURES, log=True), found)
 
 
-SMALL_RUN = RunOptions(
-    variants=(Variant("logistic", True, False), Variant("dnn")),
-    second_level=("dnn",),
-    options=OPTIONS,
-)
+_SECOND = [f"{m}_stacking_model" for m in ("xgb", "dnn")]
+_MODELS = ", ".join(f"'{n}'" for n in [*[v.model_name for v in FIRST_LEVEL], *_SECOND])
 
 
 @query(
     "whole_run",
-    f"""{BASE}, names AS (SELECT unnest(['logistic_log_model', 'dnn_model', 'dnn_stacking_model']) AS model_name)
-    SELECT model_name, n_fold, (SELECT 3 * count(*) FROM test)::BIGINT AS submitted
+    f"""{BASE}, names AS (SELECT unnest([{_MODELS}]) AS model_name)
+    SELECT model_name, n_fold, (SELECT {len(FIRST_LEVEL) + 2} * count(*) FROM test)::BIGINT AS submitted
     FROM names, (SELECT DISTINCT n_fold FROM lab)""",
 )
 def whole_run(spark, sf):
-    """Every step of a run on two variants and a second level: the metrics it stored and the submission rows it wrote."""
-    run = new_run(spark, sf, SMALL_RUN)
+    """Every step over all variants and both second levels: the metrics it stored and the submission rows it wrote.
+
+    Steps that an earlier query of the session has done for the same folder are not done again.
+    """
+    run = [second_level(spark, sf, model) for model in ("xgb", "dnn")][0]
+    run.evaluate_all()
     folder = scratch_path(spark, "submissions")
-    metrics = run.run(folder)
+    run.submissions(folder)
     written = reduce(
         DataFrame.unionByName,
         [spark.read.csv(f"{folder}/{t}_sub", header=True, schema=run.submission(t).schema) for t in run.submission_tables()],
     )
+    metrics = run.tables.read("eval")
     return metrics.select("model_name", "n_fold", F.lit(written.count()).alias("submitted"))

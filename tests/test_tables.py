@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 from foldwise.queries.tables import EVENTS, dataset
 from foldwise.schema import TEST_SCHEMA
 from foldwise.sources.models import Models
-from foldwise.sources.scratch import scratch_path, stored
-from foldwise.sources.tables import enforce, read_csv, schema_of
+from foldwise.sources.scratch import remove, scratch_path, stored
+from foldwise.sources.tables import enforce, read_csv, schema_of, write_csv
 
 
 def test_not_null_is_enforced_on_write(spark):
@@ -36,6 +36,21 @@ def test_created_table_keeps_its_declaration(spark):
     assert details["Num Buckets"] == "4"
 
 
+def test_partitioning_needs_a_field(spark):
+    with pytest.raises(ValueError, match="needs a field"):
+        dataset(spark).create("events", {**EVENTS, "timePartitioning": {"type": "DAY"}})
+
+
+def test_csv_order(spark):
+    rows = spark.range(100).repartition(7)
+    for ordered in (False, True):
+        path = scratch_path(spark, "csv")
+        write_csv(rows, path, ordered)
+        ids = [r.id for r in spark.read.csv(path, header=True, schema="id long").collect()]
+        assert sorted(ids) == list(range(100))
+    assert remove(spark, path) and not remove(spark, path)
+
+
 def test_schema_dictionary():
     fields = [{"name": "a", "type": "INT64", "mode": "REQUIRED"}, {"name": "b", "type": "STRING", "mode": "REPEATED"}, {"name": "c", "type": "BOOL"}]
     assert schema_of(fields).simpleString() == "struct<a:bigint,b:array<string>,c:boolean>"
