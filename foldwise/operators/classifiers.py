@@ -2,8 +2,7 @@
 
 Every fit reads ``vectors`` frames: ``id, n_fold, target, features`` with ``features`` a vector and
 ``target`` the label 1..n. Options an estimator of Spark ML has no counterpart for are not accepted:
-leaf penalties and per-tree column sampling of boosted trees (columns are sampled per node), and
-rectified units, dropout and Adam of the network (sigmoid units, L-BFGS).
+leaf penalties and per-tree column sampling of boosted trees (columns are sampled per node).
 """
 
 from __future__ import annotations
@@ -11,14 +10,12 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
-    MultilayerPerceptronClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +23,8 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.columns import required
 from foldwise.functions.features import fit_part
-from foldwise.operators.network import Dense, Network, forward, matrix_function
+from foldwise.operators.network import Network, forward, matrix_function
+from foldwise.operators.network_fit import NetworkOptions, fit_networks
 from foldwise.operators.scaling import collect_scaler, fit_scaler
 from foldwise.schema import Problem
 from foldwise.sources.scratch import set_checkpoint_dir
@@ -61,19 +59,8 @@ class BoostedOptions:
     seed: int = 7
 
 
-@dataclass(frozen=True)
-class NetworkOptions:
-    """Sigmoid layers and a softmax, on standardised features, full-batch L-BFGS."""
-
-    hidden: tuple[int, ...] = (256, 128, 256)
-    max_iter: int = 100
-    tol: float = 1e-4
-    block_size: int = 512
-    seed: int = 7
-
-
 DNN = NetworkOptions()
-NN = NetworkOptions(hidden=(512, 512, 512, 512))
+NN = NetworkOptions(hidden=(512, 512, 512, 512), dropout=0.5, normalise=True, patience=5, min_progress=0.0)
 STACKING_XGB = BoostedOptions(rate=0.04, depth=4, min_child=1)
 STACKING_DNN = NetworkOptions(hidden=(128, 64, 128))
 
@@ -177,31 +164,6 @@ def fit_boosted(flagged: DataFrame, problem: Problem, options: BoostedOptions =
     return BoostedScorer(tuple(concurrently(flagged.sparkSession, one_class, problem.labels, parallelism)))
 
 
-def fit_network(fit: DataFrame, problem: Problem, scaler, options: NetworkOptions = DNN) -> NetworkScorer:
-    """Fit on features standardised with ``scaler`` (means, scales); the result reads raw features."""
-    mean, std = np.asarray(scaler[0], float), np.asarray(scaler[1], float)
-    values = F.col("_a")
-    scaled = F.array(*[(values[i] - F.lit(float(m))) / F.lit(float(s)) for i, (m, s) in enumerate(zip(mean, std))])
-    layers = [len(mean), *options.hidden, problem.n_classes]
-    estimator = MultilayerPerceptronClassifier(
-        labelCol="y", layers=layers, maxIter=options.max_iter, tol=options.tol, blockSize=options.block_size, seed=options.seed
-    )
-    arrays = fit.select(vector_to_array("features").alias("_a"), _index(problem))
-    model = estimator.fit(arrays.select(array_to_vector(scaled).alias("features"), "y"))
-    return NetworkScorer(_dense_layers(model.weights.toArray(), layers).on_raw_inputs(mean, std))
-
-
-def _dense_layers(flat: np.ndarray, sizes: list[int]) -> Network:
-    """Cut a perceptron's weight vector into layers: per layer a column-major outputs x inputs matrix, then the bias."""
-    layers, at = [], 0
-    for i, (n_in, n_out) in enumerate(zip(sizes, sizes[1:])):
-        matrix = flat[at : at + n_in * n_out].reshape(n_in, n_out)
-        at += n_in * n_out
-        layers.append(Dense(matrix.copy(), flat[at : at + n_out].copy(), "softmax" if i == len(sizes) - 2 else "sigmoid"))
-        at += n_out
-    return Network(tuple(layers))
-
-
 def concurrently(spark: SparkSession, function, items, parallelism: int) -> list:
     """Independent fits side by side, results in order; the first error is raised and what has not begun is dropped.
 
@@ -238,10 +200,10 @@ def fit_folds(model: str, view: DataFrame, problem: Problem, options, parallelis
             return fit_logistic(fit_part(view, k), problem, options)
 
     elif model in ("dnn", "nn"):
+        # all folds in one pass per step
         scalers = collect_scaler(fit_scaler(view, problem, F.col("features")))
-
-        def one_fold(k):
-            return fit_network(fit_part(view, k), problem, scalers[k], options)
+        networks, _ = fit_networks(view, problem, scalers, options)
+        return {k: NetworkScorer(n) for k, n in networks.items()}
 
     else:
         raise ValueError(f"model {model!r} is not one of logistic, dnn, xgb, nn")

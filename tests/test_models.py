@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.columns import doubles
 from foldwise.operators import classifiers as c
+from foldwise.operators import network_fit as nf
 from foldwise.operators.clusters import Clusters, add_distances, clusters_table, distance_features, fit_clusters, predict_clusters, read_clusters
 from foldwise.operators.network import Dense, Network, fold_output, network_table, read_networks
 from foldwise.operators.predict import oof_predictions, test_predictions as predict_test
@@ -123,7 +124,8 @@ def check_probabilities(long, n_ids):
     [
         ("logistic", c.LogisticOptions(l1=0.001, l2=0.001, max_iter=20)),
         ("xgb", c.BoostedOptions(rounds=2, depth=2, rate=0.5)),
-        ("dnn", c.NetworkOptions(hidden=(4,), max_iter=20)),
+        ("dnn", c.NetworkOptions(hidden=(16, 8), rate=0.02, dropout=0.1, max_iter=40, patience=5)),
+        ("nn", c.NetworkOptions(hidden=(16, 16, 16), rate=0.02, dropout=0.1, normalise=True, max_iter=40, patience=5)),
     ],
 )
 def test_fitted_models_predict_unseen_rows(rows, model, options):
@@ -139,16 +141,79 @@ def test_fitted_models_predict_unseen_rows(rows, model, options):
     assert first.sort_index().to_numpy() == pytest.approx((sum(parts) / 3).sort_index().to_numpy())
 
 
-def test_exported_perceptron_scores_as_the_fitted_one(spark, rows):
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
-
-    data = c.vectors(rows, P.features).select("id", "features", (F.col("target") - 1).cast("double").alias("label"))
-    layers = [3, 5, 4, 3]
-    model = MultilayerPerceptronClassifier(layers=layers, maxIter=5, seed=3).fit(data)
-    network = c._dense_layers(model.weights.toArray(), layers)
-    own = c.NetworkScorer(network).probabilities(data, "p")
-    got = model.transform(own).select("p", vector_to_array("probability").alias("q")).toPandas()
-    assert np.stack(got.p) == pytest.approx(np.stack(got.q), abs=1e-9)
+def _data(n=40, width=3, classes=4):
+    rng = np.random.default_rng(5)
+    return rng.normal(size=(n, width)), rng.integers(0, classes, n)
+
+
+@pytest.mark.parametrize("normalise", [False, True])
+def test_network_gradient(normalise):
+    """Against differences of the loss, with the same units dropped."""
+    x, labels = _data()
+    options = nf.NetworkOptions(hidden=(6, 5, 4), dropout=0.4, normalise=normalise)
+    sizes = (3, 6, 5, 4, 4)
+    w = nf.Weights.drawn(sizes, 2 if normalise else 0, 1)
+    w.flat += np.random.default_rng(4).normal(0, 0.1, len(w.flat))  # no unit exactly at its bend
+    dropped = nf.masks(np.random.default_rng(2), len(x), sizes, options)
+    g, _ = nf.gradient(w, x, labels, dropped)
+    loss = lambda: -np.log(nf.passed(w, x, [None] * 5, dropped)[np.arange(len(x)), labels]).sum()
+    for i in np.random.default_rng(3).choice(len(g), 40, replace=False):
+        old, both = w.flat[i], []
+        for step in (1e-6, -1e-6):
+            w.flat[i] = old + step
+            both.append(loss())
+        w.flat[i] = old
+        assert (both[0] - both[1]) / 2e-6 == pytest.approx(g[i], rel=1e-3, abs=1e-4)
+
+
+def test_last_hidden_layer_of_a_normalised_network_is_whole():
+    options = nf.NetworkOptions(hidden=(50, 50), dropout=0.5, normalise=True)
+    one, two = nf.masks(np.random.default_rng(0), 20, (3, 50, 50, 2), options)
+    assert set(np.unique(one)) == {0.0, 2.0} and set(np.unique(two)) == {1.0}
+
+
+def test_plain_network_scores_as_the_normalised_one():
+    x, _ = _data()
+    w = nf.Weights.drawn((3, 6, 5, 4), 1, 4)
+    rng = np.random.default_rng(6)
+    for layer in w.layers:
+        for part in layer:
+            part[:] += rng.normal(0, 0.2, part.shape)
+    running = [(rng.normal(size=6), rng.uniform(0.5, 2, 6))]
+    mean, std = np.array([1.0, -2.0, 0.5]), np.array([2.0, 0.3, 1.0])
+    network = nf.plain_network(w, running, mean, std)
+    assert network.forward(x) == pytest.approx(nf.passed(w, (x - mean) / std, list(running), None), abs=1e-9)
+
+
+def test_one_step_is_the_gradient_over_all_tasks(spark, rows, monkeypatch):
+    """Sums over tasks, merged by segments or added on the driver, equal the sum over all rows."""
+    view = c.vectors(rows, P.features).repartition(3)
+    scalers = {k: ([0.1, 0.2, 0.3], [2.0, 1.0, 0.5]) for k in P.folds}
+    options = nf.NetworkOptions(hidden=(4,), dropout=0.0)
+    w = nf.Weights.drawn((3, 4, 3), 0, 1)
+    frame = view.select("id", "n_fold", (F.col("target") - 1).cast("int").alias("label"), vector_to_array("features").alias("x"), F.lit(True).alias("train"))
+    pdf = frame.toPandas()
+    x = (np.stack(pdf.x) - scalers[0][0]) / scalers[0][1]
+    for most in (nf.COLLECTED_BYTES, 0):
+        monkeypatch.setattr(nf, "COLLECTED_BYTES", most)
+        monkeypatch.setattr(nf, "SEGMENT", 7)
+        sums = nf._sums(spark, frame, {k: w.flat.astype(np.float32) for k in P.folds}, {k: [] for k in P.folds}, scalers, (3, 4, 3), 0, options, 0, True)
+        for k in P.folds:
+            others = (pdf.n_fold != k).to_numpy()
+            want, _ = nf.gradient(w, x[others], pdf.label.to_numpy()[others], [np.ones((others.sum(), 4))])
+            assert sums[k]["gradient"] == pytest.approx(want, abs=1e-3) and sums[k]["n"] == others.sum()
+            p = nf.passed(w, x[~others], [], None)
+            assert sums[k]["loss"] == pytest.approx(-np.log(p[np.arange(len(p)), pdf.label.to_numpy()[~others]]).sum(), rel=1e-4)
+            assert sums[k]["n_eval"] == (~others).sum()
+
+
+def test_a_fold_stops_when_its_loss_does(rows):
+    view = c.vectors(rows, P.features)
+    scalers = {k: ([0.0] * 3, [1.0] * 3) for k in P.folds}
+    still = nf.NetworkOptions(hidden=(4,), rate=0.0, patience=2, max_iter=9)
+    assert set(nf.fit_networks(view, P, scalers, still)[1].values()) == {2}
+    moving = nf.NetworkOptions(hidden=(4,), rate=0.01, dropout=0.0, min_progress=-1.0, max_iter=3)
+    assert set(nf.fit_networks(view, P, scalers, moving)[1].values()) == {3}
 
 
 def test_logistic_solution_is_stationary(rows):
