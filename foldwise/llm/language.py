@@ -174,10 +174,14 @@ def pooled(network: Network, texts: list[bytes], block: int = 1024) -> np.ndarra
 
 def learn(docs: DataFrame) -> Network | None:
     """A network from labelled documents that are not held out; None without any. The sample's bounds are PER_LANGUAGE, MOST and WINDOWS."""
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    rows = sample(labelled.select("doc_id", "lang", "text"), "lang", PER_LANGUAGE, MOST)
-    rows = [r for r in rows if r["text"]]
-    return train([r["text"].encode() for r in rows], [r["lang"] for r in rows]) if rows else None
+    labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0) & ~held_out())
+    # ids are drawn before texts are read
+    drawn = sample(labelled.select("doc_id", "lang"), "lang", PER_LANGUAGE, MOST)
+    if not drawn:
+        return None
+    chosen = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in drawn], labelled.select("doc_id", "lang").schema).distinct()
+    rows = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text").orderBy("doc_id", "text").collect()
+    return train([r["text"].encode() for r in rows], [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
