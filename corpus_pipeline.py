@@ -18,8 +18,8 @@ from foldwise.llm.packing_query import word_tokenizer
 from foldwise.llm.simhash import first_of_each
 from foldwise.sources.scratch import stored
 
-#: a document goes if no language gets more than half of its bytes
-LEAST_SCORE = 0.5
+#: a document goes if no language has a mean probability of this over its bytes; short clean texts have low scores too
+LEAST_SCORE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,8 +122,8 @@ def windows(text: bytes) -> np.ndarray:
     return out.reshape(rows, WINDOW)
 
 
-def train(texts: list[bytes], labels: list[str], seed: int = 7, passes: int = 6, batch: int = 128, rate: float = 0.02) -> Network:
-    """Adam over windows spread evenly over each text."""
+def train(texts: list[bytes], labels: list[str], seed: int = 7, passes: int = 6, batch: int = 128, rate: float = 0.02, least: int = 240) -> Network:
+    """Adam over windows spread evenly over each text: so many passes, or more where they make fewer than ``least`` steps."""
     languages = sorted(set(labels))
     network, rng = Network(languages, seed), np.random.default_rng(seed)
     rows, answers = [], []
@@ -137,6 +137,7 @@ def train(texts: list[bytes], labels: list[str], seed: int = 7, passes: int = 6,
     rows, answers = rows[some], answers[some]
     first = {n: np.zeros_like(x) for n, x in network.w.items()}
     second = {n: np.zeros_like(x) for n, x in network.w.items()}
+    passes = max(passes, -(-least * batch // len(rows)))
     step, steps = 0, passes * -(-len(rows) // batch)
     for _ in range(passes):
         order = rng.permutation(len(rows))
