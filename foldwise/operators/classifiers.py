@@ -23,13 +23,17 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.columns import required
 from foldwise.functions.features import fit_part
-from foldwise.operators.network import Network, forward, matrix_function
+from foldwise.operators.network import Network, check_size, forward, matrix_function
 from foldwise.operators.network_fit import NetworkOptions, fit_networks
 from foldwise.operators.scaling import collect_scaler, fit_scaler
 from foldwise.schema import Problem
 from foldwise.sources.scratch import set_checkpoint_dir
 
 
+# Trees travel with the plan; a node takes some 100 bytes.
+MAX_NODES = 4_000_000
+
+
 @dataclass(frozen=True)
 class LogisticOptions:
     """Penalties on the mean loss: total strength l1 + l2, share l1 / (l1 + l2) on absolute values."""
@@ -99,6 +103,9 @@ class BoostedScorer:
     models: tuple[GBTClassificationModel, ...]  # class 1..n against the rest
 
     def probabilities(self, df: DataFrame, out: str) -> DataFrame:
+        nodes = sum(m.totalNumNodes for m in self.models)
+        if nodes > MAX_NODES:
+            raise ValueError(f"boosted trees of {nodes} nodes are too large to send to every executor")
         scored, names = df, []
         for i, fitted in enumerate(self.models):
             names.append(f"_v{i}")
@@ -120,6 +127,7 @@ class NetworkScorer:
     network: Network
 
     def probabilities(self, df: DataFrame, out: str) -> DataFrame:
+        check_size({0: self.network})
         run = matrix_function(df.sparkSession, forward, self.network.plain, self.network.n_inputs)
         return df.withColumn(out, run(vector_to_array("features")))
 

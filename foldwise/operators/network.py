@@ -128,7 +128,7 @@ def matrix_function(spark: SparkSession, compute, shared, width: int):
     return apply
 
 
-def _check_size(networks: dict[int, Network]) -> None:
+def check_size(networks: dict[int, Network]) -> None:
     size = sum(n.nbytes for n in networks.values())
     if size > MAX_BROADCAST_BYTES:
         raise ValueError(f"networks of {size} bytes are too large to send to every executor")
@@ -136,7 +136,7 @@ def _check_size(networks: dict[int, Network]) -> None:
 
 def fold_output(spark: SparkSession, networks: dict[int, Network]):
     """``f(features, n_fold)``: each row through the network of its own fold, all folds in one pass."""
-    _check_size(networks)
+    check_size(networks)
     held = spark.sparkContext.broadcast({k: n.plain for k, n in networks.items()})
     width = next(iter(networks.values())).n_inputs
     outputs = next(iter(networks.values())).n_outputs
@@ -156,7 +156,7 @@ def fold_output(spark: SparkSession, networks: dict[int, Network]):
 
 def mean_output(spark: SparkSession, networks: dict[int, Network]):
     """``f(features)``: mean over the networks of all folds; features cross to Python once."""
-    _check_size(networks)
+    check_size(networks)
     width = next(iter(networks.values())).n_inputs
 
     def mean(held, x):

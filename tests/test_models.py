@@ -250,6 +250,19 @@ def test_a_missing_feature_raises(rows):
         c.vectors(holes, P.features).collect()
 
 
+def test_models_too_large_to_send_are_refused(spark, rows, monkeypatch):
+    from foldwise.operators import network as module
+
+    view = c.vectors(rows, P.features)
+    boosted = c.fit_boosted(view.withColumn("is_eval", F.lit(False)), P, c.BoostedOptions(rounds=1, depth=1, early_stop=False))
+    monkeypatch.setattr(c, "MAX_NODES", 3)
+    with pytest.raises(ValueError, match="too large"):
+        boosted.probabilities(view, "p")
+    monkeypatch.setattr(module, "MAX_BROADCAST_BYTES", 10)
+    with pytest.raises(ValueError, match="too large"):
+        c.NetworkScorer(Network((Dense(np.eye(3), np.zeros(3), "softmax"),))).probabilities(view, "p")
+
+
 def test_errors_of_one_fold_are_raised(rows):
     with pytest.raises(ValueError, match="not one of"):
         c.fit_folds("forest", c.vectors(rows, P.features), P, None, 2)
