@@ -1,8 +1,8 @@
 """First- and second-level estimators: fit on a vector column, score to an array of probabilities.
 
 Every fit reads ``vectors`` frames: ``id, n_fold, target, features`` with ``features`` a vector and
-``target`` the label 1..n. Options an estimator of Spark ML has no counterpart for are not accepted:
-leaf penalties and per-tree column sampling of boosted trees (columns are sampled per node).
+``target`` the label 1..n. Logistic models are Spark ML's; boosted trees and networks are fitted for all
+folds together, see ``boosting`` and ``network_fit``.
 """
 
 from __future__ import annotations
@@ -11,27 +11,18 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.functions.columns import required
 from foldwise.functions.features import fit_part
+from foldwise.operators.boosting import BoostedOptions, BoostedScorer, fit_forests
 from foldwise.operators.network import Network, check_size, forward, matrix_function
 from foldwise.operators.network_fit import NetworkOptions, fit_networks
 from foldwise.operators.scaling import collect_scaler, fit_scaler
 from foldwise.schema import Problem
-from foldwise.sources.scratch import set_checkpoint_dir
-
-
-# Trees travel with the plan; a node takes some 100 bytes.
-MAX_NODES = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -44,25 +35,6 @@ class LogisticOptions:
     tol: float = 1e-6
 
 
-@dataclass(frozen=True)
-class BoostedOptions:
-    """Boosted trees, one class against the rest, probabilities normalised to sum 1.
-
-    With ``early_stop`` the evaluation fold decides the number of rounds, so its out-of-fold scores
-    are slightly optimistic; switch it off to compare variants on a fixed number of rounds.
-    """
-
-    rate: float = 0.05
-    depth: int = 8
-    rounds: int = 1000
-    min_child: int = 2
-    row_sample: float = 0.8
-    column_sample: float = 0.8
-    early_stop: bool = True
-    min_progress: float = 0.0008
-    seed: int = 7
-
-
 DNN = NetworkOptions()
 NN = NetworkOptions(hidden=(512, 512, 512, 512), dropout=0.5, normalise=True, patience=5, min_progress=0.0)
 STACKING_XGB = BoostedOptions(rate=0.04, depth=4, min_child=1)
@@ -98,28 +70,6 @@ class LogisticScorer:
         return model.transform(df).withColumn(out, vector_to_array("_v")).drop("_v")
 
 
-@dataclass(frozen=True)
-class BoostedScorer:
-    models: tuple[GBTClassificationModel, ...]  # class 1..n against the rest
-
-    def probabilities(self, df: DataFrame, out: str) -> DataFrame:
-        nodes = sum(m.totalNumNodes for m in self.models)
-        if nodes > MAX_NODES:
-            raise ValueError(f"boosted trees of {nodes} nodes are too large to send to every executor")
-        scored, names = df, []
-        for i, fitted in enumerate(self.models):
-            names.append(f"_v{i}")
-            model = fitted.copy().setFeaturesCol("features").setPredictionCol("").setRawPredictionCol("").setProbabilityCol(names[-1])
-            scored = model.transform(scored)
-        # one column per step, so that no model and no sum is computed again for the next
-        scored = scored.withColumn("_p", F.array(*[vector_to_array(F.col(n))[1] for n in names]))
-        p, s = F.col("_p"), F.col("_s")
-        classes = range(len(self.models))
-        scored = scored.withColumn("_s", sum((p[i] for i in classes[1:]), p[0]))
-        shares = [F.when(s > 0, p[i] / s).otherwise(F.lit(1.0 / len(classes))) for i in classes]
-        return scored.select(*df.columns, F.array(*shares).alias(out))
-
-
 @dataclass(frozen=True)
 class NetworkScorer:
     """Scores in Arrow batches; standardisation is already part of the first layer."""
@@ -145,33 +95,6 @@ def fit_logistic(fit: DataFrame, problem: Problem, options: LogisticOptions = Lo
     return LogisticScorer(estimator.fit(fit.select("features", _index(problem))))
 
 
-def fit_boosted(flagged: DataFrame, problem: Problem, options: BoostedOptions = BoostedOptions(), parallelism: int = 1) -> BoostedScorer:
-    """``flagged`` also has ``is_eval``: those rows only stop the rounds, or are left out."""
-    set_checkpoint_dir(flagged.sparkSession)
-    estimator = GBTClassifier(
-        labelCol="y",
-        stepSize=options.rate,
-        maxDepth=options.depth,
-        maxIter=options.rounds,
-        subsamplingRate=options.row_sample,
-        featureSubsetStrategy=str(options.column_sample) if options.column_sample < 1 else "all",
-        minInstancesPerNode=options.min_child,
-        validationTol=options.min_progress,
-        checkpointInterval=10,
-        seed=options.seed,
-    )
-    if options.early_stop:
-        estimator = estimator.setValidationIndicatorCol("is_eval")
-    rows = flagged if options.early_stop else flagged.filter(~F.col("is_eval"))
-
-    def one_class(label: int) -> GBTClassificationModel:
-        meta = {"ml_attr": {"type": "nominal", "vals": ["rest", f"Class_{label}"]}}
-        y = (F.col("target") == label).cast("double").alias("y", metadata=meta)
-        return estimator.fit(rows.select("features", "is_eval", y))
-
-    return BoostedScorer(tuple(concurrently(flagged.sparkSession, one_class, problem.labels, parallelism)))
-
-
 def concurrently(spark: SparkSession, function, items, parallelism: int) -> list:
     """Independent fits side by side, results in order; the first error is raised and what has not begun is dropped.
 
@@ -198,23 +121,18 @@ def fit_folds(model: str, view: DataFrame, problem: Problem, options, parallelis
     folds. Estimators keep their own converted copy while they run, so nothing is held here beside it.
     """
     if model == "xgb":
-
-        def one_fold(k):
-            return fit_boosted(view.withColumn("is_eval", F.col("n_fold") == k), problem, options, parallelism)
-
-    elif model == "logistic":
+        return fit_forests(view, problem, options)
+    if model == "logistic":
 
         def one_fold(k):
             return fit_logistic(fit_part(view, k), problem, options)
 
-    elif model in ("dnn", "nn"):
+        return dict(zip(problem.folds, concurrently(view.sparkSession, one_fold, problem.folds, parallelism)))
+
+    if model in ("dnn", "nn"):
         # all folds in one pass per step
         scalers = collect_scaler(fit_scaler(view, problem, F.col("features")))
         networks, _ = fit_networks(view, problem, scalers, options)
         return {k: NetworkScorer(n) for k, n in networks.items()}
 
-    else:
-        raise ValueError(f"model {model!r} is not one of logistic, dnn, xgb, nn")
-    # boosted trees already fit their classes side by side
-    at_once = max(1, parallelism // problem.n_classes) if model == "xgb" else parallelism
-    return dict(zip(problem.folds, concurrently(view.sparkSession, one_fold, problem.folds, at_once)))
+    raise ValueError(f"model {model!r} is not one of logistic, dnn, xgb, nn")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.operators.classifiers import BoostedScorer, LogisticScorer, NetworkScorer, concurrently
+from foldwise.operators.classifiers import LogisticScorer, NetworkScorer, concurrently
+from foldwise.operators.boosting import FOREST, BoostedScorer, forest_table, read_forest
 from foldwise.operators.clusters import Clusters, clusters_table, read_clusters
 from foldwise.operators.network import NETWORK_SCHEMA, Network, network_table, read_networks
 from foldwise.sources.scratch import remove, replace_partitions
@@ -63,8 +64,8 @@ class Models:
                 kind = "logistic"
                 files.append((scorer.model, path))
             elif isinstance(scorer, BoostedScorer):
-                kind, parts = "boosted", len(scorer.models)
-                files += [(model, f"{path}/class={i}") for i, model in enumerate(scorer.models, 1)]
+                kind, parts = "boosted", len(scorer.labels)
+                files.append((scorer, path))
             elif isinstance(scorer, NetworkScorer):
                 kind = "network"
                 files.append((scorer.network, path))
@@ -76,6 +77,8 @@ class Models:
             model, path = job
             if isinstance(model, Network):
                 network_table(self.spark, {0: model}).coalesce(1).write.mode("overwrite").parquet(path)
+            elif isinstance(model, BoostedScorer):
+                forest_table(self.spark, model).coalesce(1).write.mode("overwrite").parquet(path)
             else:
                 model.write().overwrite().save(path)
 
@@ -92,7 +95,7 @@ class Models:
             if r["kind"] == "logistic":
                 return LogisticScorer(LogisticRegressionModel.load(path))
             if r["kind"] == "boosted":
-                return BoostedScorer(tuple(GBTClassificationModel.load(f"{path}/class={i}") for i in range(1, r["n_parts"] + 1)))
+                return read_forest(self.spark.read.schema(FOREST).parquet(path))
             return NetworkScorer(read_networks(self.spark.read.schema(NETWORK_SCHEMA).parquet(path))[0])
 
         return dict(zip([int(r["n_fold"]) for r in rows], concurrently(self.spark, load, rows, SIDE_BY_SIDE)))

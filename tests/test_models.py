@@ -4,6 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from foldwise.functions.columns import doubles
+from foldwise.operators import boosting as bo
 from foldwise.operators import classifiers as c
 from foldwise.operators import network_fit as nf
 from foldwise.operators.clusters import Clusters, add_distances, clusters_table, distance_features, fit_clusters, predict_clusters, read_clusters
@@ -123,7 +124,7 @@ def check_probabilities(long, n_ids):
     "model, options",
     [
         ("logistic", c.LogisticOptions(l1=0.001, l2=0.001, max_iter=20)),
-        ("xgb", c.BoostedOptions(rounds=2, depth=2, rate=0.5)),
+        ("xgb", c.BoostedOptions(rounds=4, depth=3, rate=0.5)),
         ("dnn", c.NetworkOptions(hidden=(16, 8), rate=0.02, dropout=0.1, max_iter=40, patience=5)),
         ("nn", c.NetworkOptions(hidden=(16, 16, 16), rate=0.02, dropout=0.1, normalise=True, max_iter=40, patience=5)),
     ],
@@ -237,7 +238,7 @@ def test_a_class_missing_from_the_training_rows(rows):
     view = c.vectors(rows, P.features)
     only_two = view.filter("target <> 3")
     logistic = c.fit_logistic(only_two, P, c.LogisticOptions(max_iter=5))
-    boosted = c.fit_boosted(only_two.withColumn("is_eval", F.lit(False)), P, c.BoostedOptions(rounds=1, depth=1, early_stop=False))
+    boosted = c.fit_folds("xgb", only_two, P, c.BoostedOptions(rounds=1, depth=1, early_stop=False))[0]
     for scorer in (logistic, boosted):
         pdf = scorer.probabilities(view, "p").select("p").toPandas()
         p = np.stack(pdf.p)
@@ -254,8 +255,8 @@ def test_models_too_large_to_send_are_refused(spark, rows, monkeypatch):
     from foldwise.operators import network as module
 
     view = c.vectors(rows, P.features)
-    boosted = c.fit_boosted(view.withColumn("is_eval", F.lit(False)), P, c.BoostedOptions(rounds=1, depth=1, early_stop=False))
-    monkeypatch.setattr(c, "MAX_NODES", 3)
+    boosted = c.fit_folds("xgb", view, P, c.BoostedOptions(rounds=1, depth=1, early_stop=False))[0]
+    monkeypatch.setattr(bo, "MAX_NODES", 3)
     with pytest.raises(ValueError, match="too large"):
         boosted.probabilities(view, "p")
     monkeypatch.setattr(module, "MAX_BROADCAST_BYTES", 10)
