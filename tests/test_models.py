@@ -208,6 +208,93 @@ def test_one_step_is_the_gradient_over_all_tasks(spark, rows, monkeypatch):
             assert sums[k]["n_eval"] == (~others).sum()
 
 
+def _boosting_rows(rows):
+    view = c.vectors(rows, P.features)
+    cuts = bo.cut_points(view, 3, 16)
+    pdf = view.select("id", "n_fold", "target", vector_to_array("features").alias("x")).toPandas()
+    return view, cuts, pdf, bo.binned(np.stack(pdf.x), cuts)
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_trees_of_a_round_against_plain_loops(rows, parts):
+    view, cuts, pdf, x = _boosting_rows(rows)
+    options = bo.BoostedOptions(rate=0.3, depth=3, row_sample=1.0, column_sample=1.0, bins=16, min_child=1.0)
+    state = bo.packed(view.repartition(parts, "id"), P, cuts)
+    trees, losses = bo.grown(state, P, cuts, set(P.folds), 0, options)
+    target = pdf.target.to_numpy() - 1
+    for (k, label), tree in trees.items():
+        train = (pdf.n_fold != k).to_numpy()
+        g, h = 1 / 3 - (target == label), np.full(len(x), 2 / 9)
+        assert losses[k] == pytest.approx(np.log(3))
+
+        def grow(node, inside, depth):
+            gs, hs = g[inside].sum(), h[inside].sum()
+            assert tree.value[node] == pytest.approx(bo.leaf_value(gs, hs, options))
+            found = (0.0, -1, 0)
+            for f in range(3):
+                for cut in range(16):
+                    left = inside & (x[:, f] <= cut)
+                    a, b = h[left].sum(), hs - h[left].sum()
+                    if a >= 1 and b >= 1:
+                        score = lambda q, w: max(abs(q) - 0.1, 0) ** 2 / (w + 0.1)
+                        gain = score(g[left].sum(), a) + score(gs - g[left].sum(), b) - score(gs, hs)
+                        if gain > found[0] + 1e-9:
+                            found = (gain, f, cut)
+            if depth == 0 or found[1] < 0:
+                assert tree.feature[node] == -1
+                return
+            assert (tree.feature[node], tree.cut[node]) == found[1:]
+            left = x[:, found[1]] <= found[2]
+            grow(2 * node + 1, inside & left, depth - 1)
+            grow(2 * node + 2, inside & ~left, depth - 1)
+
+        grow(0, train, 3)
+
+
+def test_sums_handed_on_early_are_merged(rows, monkeypatch):
+    view, cuts, _, _ = _boosting_rows(rows)
+    options = bo.BoostedOptions(depth=2, bins=16, min_child=0.5)
+    whole, _ = bo.grown(bo.packed(view, P, cuts), P, cuts, {0, 1}, 3, options)
+    monkeypatch.setattr(bo, "MERGED_BYTES", 100)
+    monkeypatch.setattr(bo, "CHUNK", 16)
+    parts, _ = bo.grown(bo.packed(view, P, cuts), P, cuts, {0, 1}, 3, options)
+    for pair, t in whole.items():
+        assert (t.feature == parts[pair].feature).all() and t.value == pytest.approx(parts[pair].value)
+
+
+def test_boosting_stops_by_its_rule_and_survives_a_round_trip(spark, rows, monkeypatch):
+    monkeypatch.setattr(bo, "WRITTEN_EVERY", 3)
+    view = c.vectors(rows, P.features)
+    fitted = bo.fit_forests(view, P, bo.BoostedOptions(rate=0.5, depth=3, min_progress=0.05, min_child=0.5))
+    assert all(2 < f.n_rounds < 60 for f in fitted.values())
+    again = bo.read_forest(bo.forest_table(spark, fitted[1]))
+    one, two = (f.probabilities(view, "p").orderBy("id").select("p").collect() for f in (fitted[1], again))
+    assert one == two
+    none = bo.fit_forests(view, P, bo.BoostedOptions(rounds=0))[0]
+    assert none.probabilities(view, "p").first()["p"] == pytest.approx([1 / 3] * 3)
+    assert bo.read_forest(bo.forest_table(spark, none)).n_rounds == 0
+
+
+def test_margins_are_those_of_the_forest(rows):
+    view, cuts, pdf, x = _boosting_rows(rows)
+    options = bo.BoostedOptions(depth=3, bins=16, min_child=0.5)
+    state = bo.packed(view.repartition(1), P, cuts)
+    trees, _ = bo.grown(state, P, cuts, {0}, 0, options)
+    row = bo.advanced(state, P, 3, trees, 3).first().asDict()
+    _, _, keys, seen, margins = bo._unpacked(row, P, 3)
+    forest = bo._scorer([(c_, t) for (_, c_), t in sorted(trees.items())], [np.append(c_, np.full(256 - len(c_), np.inf)) for c_ in cuts], 3, 3, 3)
+    values = view.repartition(1).select(vector_to_array("features").alias("x")).toPandas().x
+    assert np.exp(margins[:, 0]) / np.exp(margins[:, 0]).sum(axis=1, keepdims=True) == pytest.approx(
+        bo.score_forest((forest.feature, forest.threshold, forest.value, forest.labels, 3, 3), np.stack(values)), abs=1e-6
+    )
+
+
+def test_rows_drawn_for_a_round():
+    keys = np.arange(20_000) * 7919
+    one, two = bo.drawn(keys, 7, 0, 0.8), bo.drawn(keys, 7, 1, 0.8)
+    assert abs(one.mean() - 0.8) < 0.02 and abs((one & two).mean() - 0.64) < 0.02 and bo.drawn(keys, 7, 0, 1.0).all()
+
+
 def test_a_fold_stops_when_its_loss_does(rows):
     view = c.vectors(rows, P.features)
     scalers = {k: ([0.0] * 3, [1.0] * 3) for k in P.folds}
