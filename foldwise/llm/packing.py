@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from foldwise.llm.common import utf8
 from foldwise.sources.scratch import stored
 
 END = 0
