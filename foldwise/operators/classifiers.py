@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.columns import required
 from foldwise.functions.features import fit_part
-from foldwise.operators.boosting import BoostedOptions, BoostedScorer, fit_forests
+from foldwise.operators.boosting import BoostedOptions, BoostedScorer, fit_forests  # noqa: F401
 from foldwise.operators.network import Network, check_size, forward, matrix_function
 from foldwise.operators.network_fit import NetworkOptions, fit_networks
 from foldwise.operators.scaling import collect_scaler, fit_scaler

@@ -15,7 +15,7 @@ from foldwise.operators.stacking import (
     train_template,
     wide_features,
 )
-from foldwise.queries.base import BASE, oof_sql, query, r6, rounded, test_sql
+from foldwise.queries.base import BASE, oof_sql, query, rounded, test_sql
 from foldwise.queries.scoring import linear_oof, linear_test
 from foldwise.schema import FIRST_LEVEL
 
