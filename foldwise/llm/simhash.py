@@ -13,7 +13,6 @@ returns links to one member of each group only, so a group of n near copies give
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -62,7 +61,6 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return docs.select("doc_id", utf8().alias("text")).mapInArrow(batches_of, f"doc_id {kind}, bits long")
 
 
-@cache
 def _errors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The pattern of at most three bits for each syndrome, and the syndromes of the upper and lower halves of a word."""
     single = []
@@ -88,10 +86,12 @@ def _errors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return pattern, low, high
 
 
+PATTERN, LOW, HIGH = _errors()
+
+
 def codeword(words: np.ndarray) -> np.ndarray:
     """The 12-bit index of the codeword within three bits of each 23-bit word."""
-    pattern, low, high = _errors()
-    return (words ^ pattern[low[words & 4095] ^ high[words >> 12]]) >> np.uint32(11)
+    return (words ^ PATTERN[LOW[words & 4095] ^ HIGH[words >> 12]]) >> np.uint32(11)
 
 
 def neighbours(words: np.ndarray, bits: int) -> np.ndarray:
