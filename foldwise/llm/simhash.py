@@ -239,9 +239,16 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3) -> DataF
 
 
 def first_of_each(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
-    """One row of each group of near-duplicates: that of the smallest doc_id, all columns kept. Of rows that repeat that id, one stays."""
-    kept = near_duplicates(docs, words, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__doc"]), "left_semi")
-    # without repeated ids, every partition of this window is one row
-    nth = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
-    return rows.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
+    """One row of each group of near-duplicates: that of the smallest doc_id, all columns kept.
+
+    Groups are of rows, not of ids: rows that repeat an id, or have none, are each judged by their text. NULL ids are larger than all
+    others; of rows with one id in a group the one of the smallest hash of its text stays.
+    """
+    # 32 bytes of the text's hash, then the id, if any
+    row = F.concat(F.unhex(F.sha2(utf8(), 256)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"), F.when(F.col("doc_id").isNull(), b"\xff").otherwise(b""))
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", row.alias("row")).alias("doc_id"), "text")
+    first = near_duplicates(named, words, distance).filter("doc_id = component_id").select(F.col("doc_id.row").alias("__row")).distinct()
+    # rows equal in id and text are one before the shuffle: the limit of this window is taken per task first
+    nth = F.row_number().over(W.partitionBy("__row").orderBy("text"))
+    rows = docs.withColumn("__row", row).withColumn("__nth", nth).filter("__nth = 1")
+    return rows.join(first, "__row", "left_semi").select(*docs.columns)

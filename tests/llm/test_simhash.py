@@ -129,5 +129,14 @@ def test_one_of_each_stays(awkward):
     assert sorted(x for x in ids if x is not None) == [0, 3, 4, 5, 7, 9] and ids.count(None) == 1
 
 
+def test_one_of_each_judges_rows_not_ids(spark):
+    """Unrelated texts that share an id, or have none, all stay; their near copies go."""
+    text = [" ".join(f"{chr(97 + i)}{j * j % 997}" for j in range(300)) for i in range(9)]
+    rows = [(None, t) for t in text[:3]] + [(5, t) for t in text[3:6]] + [(2, text[6]), (5, text[6] + "\n"), (3, text[7]), (None, text[7] + " "), (None, text[8]), (None, text[8])]
+    kept = first_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, t) for t in text[:3]] + [(5, t) for t in text[3:6]] + [(2, text[6]), (3, text[7]), (None, text[8])]
+    assert sorted(map(tuple, kept), key=repr) == sorted(want, key=repr)
+
+
 def test_empty(nothing):
     assert near_duplicates(nothing).count() == 0 and first_of_each(nothing).count() == 0
