@@ -14,7 +14,10 @@ window of LENGTH bytes: equal windows hold equal samples, at one distance below
    prefix has LENGTH bytes form a class, and the smallest doc_id of each class goes back to the chunks.
 4. A chunk marks the windows that a smaller document also has, and cuts their union out.
 
-Equal entries of a chunk are one row, so a passage that every document holds is one row per chunk.
+Equal entries of a chunk are one row, so a passage that every document holds is one row per chunk. A sample with different bytes around it in
+each document would be one row per occurrence, all in one bucket: names of more than HOT occurrences leave step 3. Every window that
+touches one of their samples as it would there is sent instead, one row per chunk and window, dealt by a hash of its 50 bytes and
+compared by them, so such a name spreads over as many tasks as its windows need.
 """
 
 from __future__ import annotations
@@ -37,7 +40,11 @@ REACH = LENGTH - GRAM  # bytes on either side of a sample that windows with it c
 WIDE = REACH + GRAM + REACH
 NONE = np.iinfo(np.int64).max
 BLOCK = 1 << 20
+#: samples that occur more often than this are not merged in one task
+HOT = 100_000
+GROUP = 1e6  # rows a task should merge
 ROW = np.dtype([("near", np.uint8, WIDE), ("left", np.uint8), ("right", np.uint8), ("doc", "<i8")])
+WINDOW = np.dtype([("bytes", np.uint8, LENGTH), ("doc", "<i8")])
 
 
 def _slide(a: np.ndarray, width: int, pick) -> np.ndarray:
@@ -114,23 +121,55 @@ class Chunk:
         self.names = np.concatenate([*names, np.empty(0, np.uint64)])
         self.owner = np.searchsorted(self.ends, self.at, "right")
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct names in order, and whether two documents have them."""
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct names in order, whether two documents have them, and how often they occur."""
         order = np.argsort(self.names, kind="stable")
         names, docs = self.names[order], self.docs[self.owner[order]]
         first = np.nonzero(np.append(True, names[1:] != names[:-1]))[0] if len(names) else np.empty(0, np.int64)
         last = np.append(first[1:], len(names)) - 1 if len(names) else first
         # rows are in order of doc, and so are equal names
-        return names[first], docs[first] != docs[last]
+        return names[first], docs[first] != docs[last], last - first + 1
 
-    def shared(self, sides: list[dict], buckets: int) -> np.ndarray:
-        """Which samples some other document also has."""
-        names, _ = self.distinct()
+    def shared(self, sides: list[dict], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which samples some other document also has: those that are merged by name, and those that occur too often for it."""
+        names, *_ = self.distinct()
         bits = {row["bucket"]: np.frombuffer(row["blob"], np.uint8) for row in sides if row["kind"] == "bits"}
-        found = np.zeros(len(names), bool)
+        found, hot = np.zeros(len(names), bool), np.zeros(len(names), bool)
         for bucket, a, b in _runs(_bucket(names, buckets)):
-            found[a:b] = np.unpackbits(bits[bucket], count=b - a)
-        return found[np.searchsorted(names, self.names)]
+            wide = (b - a + 7) // 8
+            found[a:b] = np.unpackbits(bits[bucket][:wide], count=b - a)
+            if len(bits[bucket]) > wide:
+                hot[a:b] = np.unpackbits(bits[bucket][wide:], count=b - a)
+        place = np.searchsorted(names, self.names)
+        return (found & ~hot)[place], hot[place]
+
+    def windows(self, hot: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where windows with one of the ``hot`` samples begin, the row of each; different windows with their smallest doc, their buckets (ascending)."""
+        begun = np.zeros(len(self.raw) + 1, bool)
+        at, owner = self.at[hot], self.owner[hot]
+        for d in range(REACH + 1):
+            begun[at[(at - d >= self.begins[owner]) & (at - d + LENGTH <= self.ends[owner])] - d] = True
+        at = np.nonzero(begun)[0]
+        words = np.ndarray((max(len(self.raw) - 7, 0),), "<u8", self.raw, strides=(1,)) if len(at) else np.empty(0, "<u8")
+        offsets = [*range(0, LENGTH - 8, 8), LENGTH - 8]
+        h = np.zeros(len(at), np.uint64)
+        for k in offsets:
+            h = _mix(h * np.uint64(_M) + words[at + k])
+        order = np.argsort(h, kind="stable")  # positions, and so docs, ascend among equal hashes
+        h, sorted_at = h[order], at[order]
+        new = np.ones(len(at), bool)
+        new[1:] = h[1:] != h[:-1]
+        for k in offsets:  # equal hashes are compared by their bytes
+            w = words[sorted_at + k]
+            new[1:] |= w[1:] != w[:-1]
+        place = np.empty(len(at), np.int64)
+        place[order] = np.cumsum(new) - 1
+        first = sorted_at[new]
+        rows = np.zeros(len(first), WINDOW)
+        for a in range(0, len(first), 1 << 16):
+            rows["bytes"][a : a + (1 << 16)] = self.raw[first[a : a + (1 << 16), None] + np.arange(LENGTH)]
+        rows["doc"] = self.docs[np.searchsorted(self.ends, first, "right")]
+        return at, place, rows, _bucket(h[new], buckets)
 
     def entries(self, chosen: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Different rows around the chosen samples, their buckets (ascending), and the row of each sample."""
@@ -252,6 +291,20 @@ def classes(rows: np.ndarray) -> np.ndarray:
     return least
 
 
+def window_classes(rows: np.ndarray) -> np.ndarray:
+    """For each window the smallest document that has it."""
+    w = _words(rows["bytes"], 7)
+    names = name_triples(name_triples(*w[:3]), name_triples(*w[3:6]), w[6])
+    least = np.full(len(rows), NONE)
+    np.minimum.at(least, names, rows["doc"])
+    return least[names]
+
+
+def _counted(names: np.ndarray, twice: np.ndarray, counts: np.ndarray) -> bytes:
+    """``_five``, then a byte for each count: the power of two that is not below it."""
+    return _five(names, twice) + np.ceil(np.log2(counts)).astype(np.uint8).tobytes()
+
+
 def _shorten(least: np.ndarray) -> bytes:
     """Rows of few different values: where each value begins, and the value."""
     new = np.ones(least.shape, bool)
@@ -282,7 +335,8 @@ def removed_repeats(docs: DataFrame, chunk_bytes: float = 8e6) -> DataFrame:
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)).alias("doc"), utf8().alias("text"))
     size = own.agg(F.sum(F.length("text"))).first()[0] or 0
     chunks = tasks(spark, size, chunk_bytes)
-    buckets = tasks(spark, size / 14, 1e6)
+    buckets = tasks(spark, size / 14, GROUP)
+    bound = HOT
     dealt = own.select(F.pmod(F.xxhash64("doc", "text"), F.lit(chunks)).alias("chunk"), "doc", "text")
     # stored by chunk: each pass below reads whole chunks without shuffling a text again
     name = f"foldwise_chunks_{uuid.uuid4().hex}"
@@ -303,36 +357,52 @@ def removed_repeats(docs: DataFrame, chunk_bytes: float = 8e6) -> DataFrame:
         return base.groupBy("chunk").cogroup(given.groupBy("chunk")).applyInArrow(run, schema)
 
     def hashes(chunk: int, own: Chunk, _: list) -> pa.Table:
-        names, twice = own.distinct()
+        names, twice, counts = own.distinct()
         runs = list(_runs(_bucket(names, buckets)))
-        blobs = [_five(names[a:b], twice[a:b]) for _, a, b in runs]
+        blobs = [_counted(names[a:b], twice[a:b], counts[a:b]) for _, a, b in runs]
         return pa.table({"bucket": pa.array([r[0] for r in runs], pa.int64()), "chunk": pa.array([chunk] * len(runs), pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     def in_two(key: tuple, rows: pa.Table) -> pa.Table:
-        values = [_unfive(b) for b in rows.column("blob").to_pylist()]
-        both = np.concatenate(values)
-        names, counts = np.unique(both >> np.uint64(1), return_counts=True)
-        repeated = names[counts > 1]
-        hit = ((both & np.uint64(1)) == 1) | np.isin(both >> np.uint64(1), repeated)
-        ends = np.cumsum([len(v) for v in values])
-        blobs = [np.packbits(hit[e - len(v) : e]).tobytes() for v, e in zip(values, ends)]
+        given = rows.column("blob").to_pylist()
+        sizes = [len(b) // 6 for b in given]
+        both = np.concatenate([_unfive(b[: 5 * n]) for b, n in zip(given, sizes)])
+        often = np.ldexp(1.0, np.concatenate([np.frombuffer(b, np.uint8, offset=5 * n) for b, n in zip(given, sizes)]).astype(np.int32))
+        _, place, counts = np.unique(both >> np.uint64(1), return_inverse=True, return_counts=True)
+        hit = ((both & np.uint64(1)) == 1) | (counts > 1)[place]
+        hot = hit & (np.bincount(place, often) > bound)[place]
+        blobs, weights = [], []
+        for e, n in zip(np.cumsum(sizes).tolist(), sizes):
+            own, much = hit[e - n : e], hot[e - n : e]
+            blobs.append(np.packbits(own).tobytes() + (np.packbits(much).tobytes() if much.any() else b""))
+            weights.append(int(often[e - n : e][much].sum()))
         n = len(blobs)
-        return pa.table({"chunk": rows.column("chunk"), "kind": pa.array(["bits"] * n), "bucket": pa.array([key[0].as_py()] * n, pa.int64()), "doc": pa.nulls(n, pa.int64()), "blob": pa.array(blobs, pa.binary())})
+        # doc: how many occurrences are hot
+        return pa.table({"chunk": rows.column("chunk"), "kind": pa.array(["bits"] * n), "bucket": pa.array([key[0].as_py()] * n, pa.int64()), "doc": pa.array(weights, pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     found = passing(hashes, "bucket long, chunk long, blob binary", sides)
-    sides = sides.union(stored(found.groupBy("bucket").applyInArrow(in_two, SIDES), "shared-samples"))
+    shared = stored(found.groupBy("bucket").applyInArrow(in_two, SIDES), "shared-samples")
+    sides = sides.union(shared)
+    # each hot sample is in at most REACH + 1 windows; their buckets are numbered after the others
+    spread = tasks(spark, (REACH + 1.0) * (shared.agg(F.sum("doc")).first()[0] or 0), GROUP)
 
     def entries(chunk: int, own: Chunk, extra: list) -> pa.Table:
-        rows, bucket, _ = own.entries(own.shared(extra, buckets), buckets)
+        cold, hot = own.shared(extra, buckets)
+        rows, bucket, _ = own.entries(cold, buckets)
+        _, _, windows, window_bucket = own.windows(hot, spread)
         runs = list(_runs(bucket))
         blobs = [zstandard.ZstdCompressor(1).compress(rows[a:b].tobytes()) for _, a, b in runs]
+        for b, x, y in _runs(window_bucket):
+            runs.append((buckets + b, x, y))
+            blobs.append(zstandard.ZstdCompressor(1).compress(windows[x:y].tobytes()))
         return pa.table({"bucket": pa.array([r[0] for r in runs], pa.int64()), "chunk": pa.array([chunk] * len(runs), pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     def merged(key: tuple, given: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(zstandard.ZstdDecompressor().decompress(b), ROW) for b in given.column("blob").to_pylist()]
-        least = classes(np.concatenate(parts))
+        by_window = key[0].as_py() >= buckets
+        parts = [np.frombuffer(zstandard.ZstdDecompressor().decompress(b), WINDOW if by_window else ROW) for b in given.column("blob").to_pylist()]
+        least = (window_classes if by_window else classes)(np.concatenate(parts))
+        pack = (lambda x: zstandard.ZstdCompressor(1).compress(x.astype("<i8").tobytes())) if by_window else _shorten
         ends = np.cumsum([len(p) for p in parts])
-        blobs = [_shorten(least[e - len(p) : e]) for p, e in zip(parts, ends)]
+        blobs = [pack(least[e - len(p) : e]) for p, e in zip(parts, ends)]
         n = len(blobs)
         return pa.table({"chunk": given.column("chunk"), "kind": pa.array(["least"] * n), "bucket": pa.array([key[0].as_py()] * n, pa.int64()), "doc": pa.nulls(n, pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
@@ -340,7 +410,7 @@ def removed_repeats(docs: DataFrame, chunk_bytes: float = 8e6) -> DataFrame:
     sides = sides.union(stored(around.groupBy("bucket").applyInArrow(merged, SIDES), "least-documents"))
 
     def cut(chunk: int, own: Chunk, extra: list) -> pa.Table:
-        chosen = own.shared(extra, buckets)
+        chosen, hot = own.shared(extra, buckets)
         rows, bucket, place = own.entries(chosen, buckets)
         blobs = {row["bucket"]: row["blob"] for row in extra if row["kind"] == "least"}
         begins = np.zeros(len(own.raw) + LENGTH + 1, np.int32)
@@ -354,6 +424,11 @@ def removed_repeats(docs: DataFrame, chunk_bytes: float = 8e6) -> DataFrame:
                 part = mine[a : a + (1 << 16)]
                 who, d = np.nonzero(least[place[part] - x] < docs[part, None])
                 begins[at[part[who]] - d] = 1
+        where, place, windows, window_bucket = own.windows(hot, spread)
+        least = np.empty(len(windows), np.int64)
+        for b, x, y in _runs(window_bucket):
+            least[x:y] = np.frombuffer(zstandard.ZstdDecompressor().decompress(blobs[buckets + b]), "<i8")
+        begins[where[least[place] < own.docs[np.searchsorted(own.ends, where, "right")]]] = 1
         # windows that began up to here, less those that began LENGTH bytes ago
         begun = np.cumsum(begins, dtype=np.int32)
         covered = begun[: len(own.raw)] > np.concatenate([np.zeros(LENGTH, np.int32), begun])[: len(own.raw)]

@@ -52,6 +52,38 @@ def test_overlaps_and_context(spark):
     assert found(removed_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == expected(rows)
 
 
+def test_frequent_samples_are_not_one_group(spark, monkeypatch):
+    """A line between different neighbours in each document: no task merges all its occurrences, and the result is the same."""
+    import foldwise.llm.repeats as module
+
+    line = "".join(chr(97 + i * i % 23) for i in range(70))
+    other = lambda i, n: "".join(chr(65 + x) for x in np.random.default_rng(i).integers(0, 26, n))
+    rows = [(i, other(i, 30 + i % 7) + line[: 30 + i % 41] + other(i // 3 + 5000, 40) + line) for i in range(900)]
+    most, names, windows = 300, module.classes, getattr(module, "window_classes", None)
+
+    def bounded(function):
+        def run(rows):
+            assert len(rows) <= 4 * most
+            return function(rows)
+
+        return run
+
+    monkeypatch.setattr(module, "HOT", 100, raising=False)
+    monkeypatch.setattr(module, "GROUP", most, raising=False)
+    monkeypatch.setattr(module, "classes", bounded(names))
+    monkeypatch.setattr(module, "window_classes", bounded(windows), raising=False)
+    assert found(removed_repeats(spark.createDataFrame(rows, "doc_id long, text string"), chunk_bytes=2e4)) == expected(rows)
+
+
+def test_frequent_samples_give_the_same(documents, rows, awkward, monkeypatch):
+    import foldwise.llm.repeats as module
+
+    monkeypatch.setattr(module, "HOT", 2, raising=False)
+    assert found(removed_repeats(documents)) == expected(rows)
+    rows = [(r["doc_id"], r["text"]) for r in awkward.collect()]
+    assert found(removed_repeats(awkward, chunk_bytes=1e5)) == expected(rows)
+
+
 def test_spans_say_what_is_gone(documents, rows):
     texts = dict(rows)
     for r in removed_repeats(documents).collect():
