@@ -25,7 +25,7 @@ STEP = PLACES * STRIDE  # chunks overlap, so the places of a filter are STRIDE a
 PAD = 256
 #: the bound on what is learned from: documents of each label, and chunks of each document, spread evenly over it
 PER_LABEL, CHUNKS = 1500, 16
-#: every so many documents of label 1 give an excerpt
+#: every so many documents of a label give an excerpt
 EXCERPTS = 4
 
 
@@ -105,13 +105,13 @@ def chunks_of(text: bytes) -> np.ndarray:
 def train(texts: list[bytes], labels: list[int], seed: int = 11, passes: int = 10, batch: int = 32, rate: float = 0.01) -> Network:
     """Adam on the mean loss of small batches of documents.
 
-    Short excerpts of documents of label 1 are added, with their label: few documents are short, and a short one shows few features.
+    Short excerpts of documents of both labels are added, with their label: few documents are short, and a short one shows few features.
     """
     network, rng = Network(seed), np.random.default_rng(seed)
-    good = [t for t, label in zip(texts, labels) if label == 1 and len(t) > 100]
-    for text in good[::EXCERPTS]:
+    long = [(t, label) for t, label in zip(texts, labels) if len(t) > 100]
+    for text, label in [x for own in (1, 0) for x in [y for y in long if y[1] == own][::EXCERPTS]]:
         begin, size = int(rng.integers(0, len(text) - 80)), int(rng.integers(4, 80))
-        texts, labels = [*texts, text[begin : begin + size]], [*labels, 1]
+        texts, labels = [*texts, text[begin : begin + size]], [*labels, label]
     parts = []
     for text in texts:
         own = chunks_of(text)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from foldwise.llm.folds import held_out
-from foldwise.llm.quality import CHUNK, PAD, PLACES, STRIDE, WIDTH, Network, chunks_of, learn, score
+from foldwise.llm.quality import CHUNK, PAD, PLACES, STRIDE, WIDTH, Network, chunks_of, learn, score, train
 
 SF = "/root/testdata/sf0.1"
 
@@ -23,6 +23,18 @@ def test_held_out_accuracy(spark, network):
     assert (scores[quality == 1] >= 0.5).mean() > 0.98
 
 
+def test_short_texts_of_both_labels():
+    """Learnt from long documents only, a short text follows the kind of its own label."""
+    rng = np.random.default_rng(4)
+    words = ["river", "stone", "garden", "window", "letter", "morning", "village", "bread"]
+    good = lambda n: " ".join(rng.choice(words, n)).encode()
+    bad = lambda n: " ".join("".join(rng.permutation(list(w))) for w in rng.choice(words, n)).encode()
+    network = train([good(120) for _ in range(300)] + [bad(120) for _ in range(60)], [1] * 300 + [0] * 60)
+    for make, label, least in ((good, 1, 0.9), (bad, 0, 0.7)):
+        scores = [network.probabilities(chunks_of(make(4)), np.array([0]))[0] for _ in range(200)]
+        assert np.mean([(x >= 0.5) == label for x in scores]) > least
+
+
 def test_gradients():
     rng = np.random.default_rng(1)
     network = Network(1)
