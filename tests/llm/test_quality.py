@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from foldwise.llm.folds import held_out
+from foldwise.llm.folds import held_out, sample
 from foldwise.llm.quality import CHUNK, PAD, PLACES, STRIDE, WIDTH, Network, chunks_of, learn, score, train
 
 SF = "/root/testdata/sf0.1"
@@ -23,6 +23,17 @@ def test_held_out_accuracy(spark, network):
     assert (scores[quality == 1] >= 0.5).mean() > 0.98
 
 
+def test_sample_does_not_rank_a_whole_label_in_one_task(spark, monkeypatch):
+    """The rows are those of one ranking by label; the ranking by label alone is over few rows."""
+    rows = spark.range(130_000).selectExpr("id as doc_id", "cast(id % 7 = 0 as int) as label")
+    hashed = sorted((r["h"], r["label"], r["doc_id"]) for r in rows.selectExpr("*", "xxhash64(doc_id) as h").collect())
+    want = {d for own in (0, 1) for _, _, d in [x for x in hashed if x[1] == own][:1500]}
+    plans, collect = [], type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or collect(df))
+    assert {r["doc_id"] for r in sample(rows, "label", 1500, 3000)} == want
+    assert sum("Window [" in x and "__part" in x for x in plans[0].splitlines()) == 1
+
+
 def test_short_texts_of_both_labels():
     """Learnt from long documents only, a short text follows the kind of its own label."""
     rng = np.random.default_rng(4)
