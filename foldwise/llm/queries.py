@@ -10,6 +10,7 @@ from foldwise.llm import (  # noqa: F401
     quality_query,
     repair_query,
     repeats_query,
+    similar_query,
     simhash_query,
     urls_query,
 )
