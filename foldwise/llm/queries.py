@@ -8,6 +8,7 @@ from foldwise.llm import (  # noqa: F401
     neighbours_query,
     packing_query,
     quality_query,
+    ranked_query,
     repair_query,
     repeats_query,
     similar_query,
