@@ -1,31 +1,38 @@
 """Boosted trees for several classes: one ensemble per fold on the softmax loss, all folds and classes grown together.
 
 Features are cut into bins by quantiles once. Rows are packed into chunks with the margins of every fold's ensemble. A level of the trees of
-all folds and classes is one pass: tasks sum gradients and second derivatives by (fold, class, node, feature, bin), the sums of a node are
-merged and its best split is found there, and only splits reach the driver. The first pass of a round also gives the loss of each fold's own
-rows, which ends the fold. Penalties act on leaf values, child weight on second derivatives, columns are drawn per tree, rows per round.
+all folds and classes is one pass. Tasks sum gradients and second derivatives by (fold, class, node, feature, bin), of the lighter child of each
+split only: the other child is its parent, whose sums stay where they were merged, less the lighter one. What tasks hand on are the filled bins
+of the columns drawn for a tree; it is merged in two levels where there are many tasks. Splits are found where the sums are merged, and only
+they reach the driver. The first pass of a round also gives the loss of each fold's own rows, which ends the fold. Penalties act on leaf
+values, child weight on second derivatives, columns are drawn per tree, rows per round.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from foldwise.operators.network import _matrix, matrix_function
+from foldwise.operators.network import MAX_BROADCAST_BYTES, _matrix, matrix_function
+from foldwise.operators.quantiles import column_quantiles
 from foldwise.schema import Problem
 from foldwise.sources.scratch import stored
 
-CHUNK = 4096  # rows packed into one
+CHUNK = 4096  # rows packed into one, at most
+ROWS_PER_TASK = 4096  # fewer tasks for few rows; never more than partitions
 WRITTEN_EVERY = 16  # rounds after which margins are written, which cuts their lineage
-MERGED_BYTES = 64 << 20  # sums a task holds before it hands them on
-MAX_NODES = 4_000_000  # of an ensemble that travels to every executor
+MERGED_BYTES = 256 << 20  # sums a task holds before it hands them on
+MERGED_TASKS = 64  # whose sums are merged at once; more are merged in two levels
+TREES_AT_ONCE = 64  # when rows are scored
 
 
 @dataclass(frozen=True)
@@ -50,10 +57,8 @@ class BoostedOptions:
 
 def cut_points(view: DataFrame, width: int, bins: int) -> list[np.ndarray]:
     """Per feature at most ``bins - 1`` different quantiles; a value goes into the bin of the first one not below it."""
-    shares = F.array(*[F.lit((i + 1) / bins) for i in range(bins - 1)])
     values = view.select(vector_to_array("features").alias("x"))
-    found = values.agg(*[F.percentile_approx(F.col("x")[j], shares, 10_000).alias(f"q{j}") for j in range(width)]).first()
-    return [np.unique(np.array(found[j] or [], float)) for j in range(width)]
+    return column_quantiles(values, width, np.arange(1, bins) / bins)
 
 
 def binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
@@ -71,24 +76,51 @@ class Tree:
 
 def descended(trees: tuple, x: np.ndarray, depth: int) -> np.ndarray:
     """(rows, trees): the node that each row of bins or values ends in; trees = (feature, cut), each (trees, nodes)."""
-    feature, cut = trees
-    at = np.zeros((len(x), len(feature)), np.int64)
-    which, rows = np.arange(len(feature)), np.arange(len(x))[:, None]
+    feature, cut = (t.ravel() for t in trees)
+    count, nodes = trees[0].shape
+    values, begins, firsts = np.ascontiguousarray(x).ravel(), np.arange(len(x))[:, None] * x.shape[1], np.arange(count) * nodes
+    at = np.zeros((len(x), count), np.int64)
     for _ in range(depth):
-        f = feature[which, at]
-        right = x[rows, np.maximum(f, 0)] > cut[which, at]
-        at = np.where(f >= 0, 2 * at + 1 + right, at)
+        here = at + firsts
+        f = feature.take(here)
+        inside = f >= 0
+        if not inside.any():
+            break
+        right = values.take(begins + np.maximum(f, 0)) > cut.take(here)
+        at = np.where(inside, 2 * at + 1 + right, at)
     return at
 
 
+def _perfect(feature: np.ndarray, threshold: np.ndarray, value: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
+    """Trees whose leaves all lie at ``depth``: a higher leaf goes on to its left, and takes its value along."""
+    feature, threshold, value = feature.copy(), threshold.copy(), value.copy()
+    for level in range(depth):
+        nodes = np.arange(2**level - 1, 2 ** (level + 1) - 1)
+        tree, at = np.nonzero(feature[:, nodes] < 0)
+        at = nodes[at]
+        value[tree, 2 * at + 1] = value[tree, at]
+        feature[tree, at], threshold[tree, at] = 0, np.inf
+        feature[tree, 2 * at + 1] = -1
+    inner = 2**depth - 1
+    return feature[:, :inner], threshold[:, :inner], value[:, inner:]
+
+
 def score_forest(shared, x: np.ndarray) -> np.ndarray:
-    """Class probabilities of rows of values."""
+    """Class probabilities of rows of values. Trees pass by in blocks, each made perfect so that a level is three lookups."""
     feature, threshold, value, labels, classes, depth = shared
     margins = np.zeros((len(x), classes))
-    for a in range(0, len(feature), 64):
-        part = slice(a, a + 64)
-        at = descended((feature[part], threshold[part]), x, depth)
-        got = value[part][np.arange(at.shape[1]), at]
+    values, begins = np.ascontiguousarray(x, float).ravel(), np.arange(len(x))[:, None] * x.shape[1]
+    # no value is above an infinite threshold, and NaN goes left as it does from any other
+    for a in range(0, len(feature), TREES_AT_ONCE):
+        part = slice(a, a + TREES_AT_ONCE)
+        f, t, v = _perfect(feature[part].astype(np.int64), threshold[part], value[part], depth)
+        inner, leaves = np.arange(len(f)) * f.shape[1], np.arange(len(f)) * v.shape[1]
+        f, t = f.ravel(), t.ravel()
+        at = np.zeros((len(x), len(inner)), np.int64)
+        for _ in range(depth):
+            here = at + inner
+            at = 2 * at + 1 + (values.take(begins + f.take(here)) > t.take(here))
+        got = v.ravel().take(at - (2**depth - 1) + leaves)
         for c in range(classes):
             margins[:, c] += got[:, labels[part] == c].sum(axis=1)
     return _softmax(margins)
@@ -116,9 +148,9 @@ class BoostedScorer:
         return len(self.labels) // self.classes
 
     def probabilities(self, df: DataFrame, out: str) -> DataFrame:
-        if self.feature.size > MAX_NODES:
+        shared = (self.feature.astype(np.int32), self.threshold, self.value, self.labels, self.classes, self.depth)
+        if sum(a.nbytes for a in shared[:4]) > MAX_BROADCAST_BYTES:
             raise ValueError(f"boosted trees of {self.feature.size} nodes are too large to send to every executor")
-        shared = (self.feature, self.threshold, self.value, self.labels, self.classes, self.depth)
         return df.withColumn(out, matrix_function(df.sparkSession, score_forest, shared, self.width)(vector_to_array("features")))
 
 
@@ -205,27 +237,54 @@ def leaf_value(g: float, h: float, options: BoostedOptions) -> float:
     return float(-options.rate * _shrunk(g, options) / max(h + options.l2, 1e-12))
 
 
-def level_sums(state: DataFrame, problem: Problem, width: int, bins: int, growing: dict, open_nodes: dict, level: int, turn: int, options: BoostedOptions, evaluating: bool) -> DataFrame:
-    """Rows (fold, label, node, sums): for each open node (features, bins, 2); with label -1, a fold's loss and number of own rows.
+def encoded(sums: np.ndarray) -> bytes:
+    """Sums (columns, bins, 2): the filled bins with their places, or all of them where that is shorter."""
+    flat = sums.reshape(-1, 2)
+    at = np.nonzero(flat.any(axis=1))[0].astype(np.int32)
+    if 20 * len(at) < 16 * len(flat):
+        return b"s" + np.int32(len(at)).tobytes() + at.tobytes() + flat[at].tobytes()
+    return b"d" + np.ascontiguousarray(flat).tobytes()
+
+
+def added(total: np.ndarray, part: bytes) -> None:
+    """``total`` (columns, bins, 2) and what ``encoded`` made of such sums."""
+    flat = total.reshape(-1, 2)
+    if part[:1] == b"d":
+        flat += np.frombuffer(part, offset=1).reshape(-1, 2)
+    else:
+        n = int(np.frombuffer(part, np.int32, 1, 1)[0])
+        at = np.frombuffer(part, np.int32, n, 5)
+        flat[at] += np.frombuffer(part, offset=5 + 4 * n).reshape(-1, 2)
+
 
-    growing: (feature, cut) of the trees so far by (fold, label); open_nodes: their nodes at ``level``.
+SUMS = "fold long, label long, node long, slot long, sums binary"
+#: what a node becomes; ``lighter`` is the child to be summed next, ``sums`` are kept where that is needed
+NODES = "fold long, label long, node long, feature long, cut long, gl double, hl double, g double, h double, lighter long, sums binary"
+
+
+def level_sums(state: DataFrame, problem: Problem, width: int, columns: dict, bins: int, growing: dict, summed: dict, level: int, turn: int, options: BoostedOptions, evaluating: bool) -> DataFrame:
+    """Rows (fold, label, node, slot, sums): for each node the encoded sums (columns, bins, 2); with label -1, a fold's loss and number of own rows.
+
+    columns: those drawn for the tree by (fold, label); growing: (feature, cut) of the trees so far; summed: their nodes to sum at ``level``.
     """
     folds_left = sorted({k for k, _ in growing})
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, np.ndarray] = {}
+        slot = TaskContext.get().partitionId()
 
         def out():
-            keys = [(*key, node) for key in held for node in ([-1] if key[1] < 0 else open_nodes[key])]
-            values = [v for key in held for v in ([held[key]] if key[1] < 0 else held[key])]
-            names = [pa.array(list(c), pa.int64()) for c in zip(*keys)] + [pa.array([v.tobytes() for v in values], pa.binary())]
-            return pa.RecordBatch.from_arrays(names, names="fold label node sums".split())
+            for (k, c), sums in held.items():
+                nodes = [-1] if c < 0 else summed[k, c]
+                values = [sums.tobytes()] if c < 0 else [encoded(v) for v in sums]
+                columns = [pa.array(x, pa.int64()) for x in ([k] * len(nodes), [c] * len(nodes), nodes, [slot] * len(nodes))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.binary())], names="fold label node slot sums".split())
+            held.clear()
 
         for batch in batches:
-            for row in batch.to_pylist():
-                folds, labels, keys, x, margins = _unpacked(row, problem, width)
+            for i in range(batch.num_rows):
+                folds, labels, keys, x, margins = _unpacked({c: batch.column(c)[i].as_py() for c in batch.schema.names}, problem, width)
                 sampled = drawn(keys, options.seed, turn, options.row_sample)
-                offsets = np.arange(width) * bins
                 for k in folds_left:
                     p = _softmax(margins[:, k].astype(float))
                     if evaluating:
@@ -234,7 +293,7 @@ def level_sums(state: DataFrame, problem: Problem, width: int, bins: int, growin
                         held[k, -1] = held.get((k, -1), 0) + np.array([loss, own.sum()])
                     rows = np.nonzero((folds != k) & sampled)[0]
                     for c in range(problem.n_classes):
-                        nodes = open_nodes.get((k, c))
+                        nodes = summed.get((k, c))
                         if not nodes:
                             continue
                         feature, cut = growing[k, c]
@@ -243,55 +302,117 @@ def level_sums(state: DataFrame, problem: Problem, width: int, bins: int, growin
                         place[nodes] = np.arange(len(nodes))
                         local = place[at]
                         mine, local = rows[local >= 0], local[local >= 0]
+                        some = columns[k, c]
                         g = p[mine, c] - (labels[mine] == c)
                         h = p[mine, c] * (1 - p[mine, c])
-                        index = (local[:, None] * (width * bins) + offsets + x[mine]).ravel()
-                        size = len(nodes) * width * bins
-                        both = [np.bincount(index, np.repeat(v, width), size) for v in (g, h)]
-                        held[k, c] = held.get((k, c), 0) + np.stack(both, axis=-1).reshape(len(nodes), width, bins, 2)
-                if sum(v.nbytes for v in held.values()) > MERGED_BYTES:
-                    yield out()
-                    held.clear()
-        if held:
-            yield out()
+                        index = (local[:, None] * (len(some) * bins) + np.arange(len(some)) * bins + x[mine[:, None], some]).ravel()
+                        size = len(nodes) * len(some) * bins
+                        both = [np.bincount(index, np.repeat(v, len(some)), size) for v in (g, h)]
+                        sums = np.stack(both, axis=-1).reshape(len(nodes), len(some), bins, 2)
+                        if (k, c) in held:
+                            held[k, c] += sums
+                        else:
+                            held[k, c] = sums
+                        if sum(v.nbytes for v in held.values()) > MERGED_BYTES:
+                            yield from out()
+        yield from out()
+
+    return state.mapInArrow(gather, SUMS)
+
+
+def _shape(columns: dict, bins: int, fold: int, label: int) -> tuple[int, int, int]:
+    return len(columns[fold, label]), bins, 2
 
-    return state.mapInArrow(gather, "fold long, label long, node long, sums binary")
 
+def _fewer(parts: DataFrame, columns: dict, bins: int, slots: int) -> DataFrame:
+    """The sums of many tasks as those of ``slots``."""
 
-def _merged(parts: DataFrame) -> DataFrame:
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = None
+        fold, label, node, slot = (k.as_py() for k in key)
+        total = np.zeros(2 if label < 0 else _shape(columns, bins, fold, label))
         for batch in batches:
             for part in batch.column("sums"):
-                values = np.frombuffer(part.as_py())
-                whole = values if whole is None else whole + values
-        yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], pa.int64()) for k in key] + [pa.array([whole.tobytes()], pa.binary())], names="fold label node sums".split())
+                if label < 0:
+                    total += np.frombuffer(part.as_py())
+                else:
+                    added(total, part.as_py())
+        names = [pa.array([v], pa.int64()) for v in (fold, label, node, slot)]
+        yield pa.RecordBatch.from_arrays([*names, pa.array([total.tobytes() if label < 0 else encoded(total)], pa.binary())], names="fold label node slot sums".split())
 
-    return parts.groupBy("fold", "label", "node").applyInArrow(add, "fold long, label long, node long, sums binary")
+    return parts.withColumn("slot", F.col("slot") % slots).groupBy("fold", "label", "node", "slot").applyInArrow(add, SUMS)
 
 
-def splits(sums: DataFrame, width: int, bins: int, columns: dict, options: BoostedOptions) -> DataFrame:
-    """(fold, label, node, feature, cut, gain, gl, hl, g, h) per node; a loss row has its two numbers in g and h."""
+class Family:
+    """A node that was summed, its parent if it has one, and so the other child."""
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, columns: dict, bins: int, options: BoostedOptions, last: bool):
+        self.columns, self.bins, self.options, self.last = columns, bins, options, last
+        self.found: dict[tuple, np.ndarray] = {}
+        self.parents: dict[tuple, np.ndarray] = {}
+        self.lighter: dict[tuple, int] = {}
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        for fold, label, node, slot, sums in zip(*(batch.column(c).to_pylist() for c in ("fold", "label", "node", "slot", "sums"))):
+            if label < 0:
+                self.found[fold, label, node] = self.found.get((fold, label, node), 0) + np.frombuffer(sums)
+                continue
+            # a parent comes with the child that was summed in place of the task's number, below zero
+            key = (fold, label, node if slot >= 0 else -slot)
+            if slot < 0:
+                self.lighter[key] = node
+            kept = self.parents if slot < 0 else self.found
+            if key not in kept:
+                kept[key] = np.zeros(_shape(self.columns, self.bins, fold, label))
+            added(kept[key], sums)
+
+    def rows(self) -> list[tuple]:
+        out = []
+        for (fold, label, node), parent in self.parents.items():
+            child = self.found.setdefault((fold, label, node), np.zeros_like(parent))
+            other = parent - child
+            # what rounding leaves of bins that all belong to the child
+            other[(np.abs(other) < 1e-9).all(axis=-1)] = 0
+            self.found[fold, label, node + 1 if node % 2 else node - 1] = other
+        for (fold, label, node), sums in self.found.items():
+            if label < 0:
+                out.append((fold, label, node, -1, 0, 0.0, 0.0, *sums.tolist(), -1, None))
+                continue
+            feature, cut, _ = best_split(sums, self.options)
+            g, h = sums[0].sum(axis=0).tolist()
+            gl, hl = sums[max(feature, 0), : cut + 1].sum(axis=0).tolist()
+            lighter = 2 * node + (1 if hl <= h - hl else 2)
+            feature = int(self.columns[fold, label][feature]) if feature >= 0 else -1
+            out.append((fold, label, node, feature, cut, gl, hl, g, h, lighter, encoded(sums) if feature >= 0 and not self.last else None))
+        return out
+
+
+def _batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 5 + [pa.float64()] * 4 + [pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [()] * 11, kinds)], names="fold label node feature cut gl hl g h lighter sums".split())
+
+
+def split_nodes(parts: DataFrame, parents: DataFrame | None, columns: dict, bins: int, options: BoostedOptions, last: bool, small: bool) -> DataFrame:
+    """NODES of a level: the merged sums of the nodes that were summed, those of their siblings, and the best split of each."""
+    if parents is not None:
+        split = parents.filter("sums IS NOT NULL")
+        parts = parts.unionByName(split.select("fold", "label", "node", (-F.col("lighter")).alias("slot"), "sums"))
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family = Family(columns, bins, options, last)
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                values = np.frombuffer(r["sums"])
-                if r["label"] < 0:
-                    out.append((r["fold"], r["label"], r["node"], -1, 0, 0.0, 0.0, 0.0, *values))
-                    continue
-                cube = values.reshape(width, bins, 2)
-                allowed = columns[r["fold"], r["label"]]
-                feature, cut, gain = best_split(cube[allowed], options)
-                feature = int(allowed[feature]) if feature >= 0 else -1
-                g, h = cube[0].sum(axis=0)
-                gl, hl = cube[max(feature, 0), : cut + 1].sum(axis=0)
-                out.append((r["fold"], r["label"], r["node"], feature, cut, gain, gl, hl, g, h))
-            kinds = [pa.int64()] * 5 + [pa.float64()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], names="fold label node feature cut gain gl hl g h".split())
-
-    return sums.mapInArrow(search, "fold long, label long, node long, feature long, cut long, gain double, gl double, hl double, g double, h double")
+            family.add(batch)
+        yield _batch_of(family.rows())
+
+    if small:
+        # no group has to be found in one partition
+        return parts.repartition(1).mapInArrow(one, NODES)
+
+    def each(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from one(batches)
+
+    # the child that was summed names the group
+    child = F.when(F.col("slot") < 0, -F.col("slot")).otherwise(F.col("node"))
+    return parts.withColumn("child", child).groupBy("fold", "label", "child").applyInArrow(each, NODES)
 
 
 def grown(state: DataFrame, problem: Problem, cuts: list[np.ndarray], active: set, turn: int, options: BoostedOptions) -> tuple[dict, dict]:
@@ -301,15 +422,18 @@ def grown(state: DataFrame, problem: Problem, cuts: list[np.ndarray], active: se
     trees = {pair: Tree(np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)) for pair in pairs}
     some = max(1, round(options.column_sample * width))
     columns = {(k, c): np.sort(np.random.default_rng([options.seed, turn, k, c]).choice(width, some, replace=False)) for k, c in pairs}
-    open_nodes, losses = {pair: [0] for pair in pairs}, {}
-    alone = state.rdd.getNumPartitions() == 1
+    summed, losses, parents = {pair: [0] for pair in pairs}, {}, None
+    tasks = state.rdd.getNumPartitions()
     for level in range(options.depth):
         growing = {pair: (t.feature, t.cut) for pair, t in trees.items()}
-        sums = level_sums(state, problem, width, bins, growing, open_nodes, level, turn, options, level == 0)
-        held = sum(map(len, open_nodes.values())) * width * bins * 16
-        sums = sums if alone and held < MERGED_BYTES // 2 else _merged(sums)
+        parts = level_sums(state, problem, width, columns, bins, growing, summed, level, turn, options, level == 0)
+        held = sum(map(len, summed.values())) * some * bins * 16
+        small = 3 * held * tasks < MERGED_BYTES  # parents and children too
+        if tasks > MERGED_TASKS:
+            parts = _fewer(parts, columns, bins, math.isqrt(tasks))
+        nodes = split_nodes(parts, parents, columns, bins, options, level == options.depth - 1, small).persist(StorageLevel.MEMORY_AND_DISK)
         following = {}
-        for r in splits(sums, width, bins, columns, options).collect():
+        for r in nodes.drop("sums").collect():
             pair, node = (r["fold"], r["label"]), r["node"]
             if r["label"] < 0:
                 losses[r["fold"]] = r["g"] / r["h"] if r["h"] else None
@@ -322,10 +446,14 @@ def grown(state: DataFrame, problem: Problem, cuts: list[np.ndarray], active: se
             tree.feature[node], tree.cut[node] = r["feature"], r["cut"]
             tree.value[2 * node + 1] = leaf_value(r["gl"], r["hl"], options)
             tree.value[2 * node + 2] = leaf_value(r["g"] - r["gl"], r["h"] - r["hl"], options)
-            following.setdefault(pair, []).extend((2 * node + 1, 2 * node + 2))
-        open_nodes = {pair: sorted(nodes) for pair, nodes in following.items()}
-        if not open_nodes:
+            following.setdefault(pair, []).append(r["lighter"])
+        if parents is not None:
+            parents.unpersist()
+        parents, summed = nodes, {pair: sorted(lighter) for pair, lighter in following.items()}
+        if not summed:
             break
+    if parents is not None:
+        parents.unpersist()
     return trees, losses
 
 
@@ -352,12 +480,16 @@ def fit_forests(view: DataFrame, problem: Problem, options: BoostedOptions) -> d
         raise ValueError("bins must be 2 to 256")
     width = len(view.select(vector_to_array("features").alias("x")).first()["x"])
     cuts = cut_points(view, width, options.bins)
-    tasks = max(1, min(view.rdd.getNumPartitions(), -(-view.count() // CHUNK)))
+    tasks = max(1, min(view.rdd.getNumPartitions(), -(-view.count() // ROWS_PER_TASK)))
     state = stored(packed(view.coalesce(tasks), problem, cuts), "boosting")
     forests: dict[int, list] = {k: [] for k in problem.folds}
-    active, before, cached = set(problem.folds), {}, None
+    active, before, kept = set(problem.folds), {}, []
     for turn in range(options.rounds):
+        # the first pass of a round also computes the margins after the last one, which stay with their rows
         trees, losses = grown(state, problem, cuts, active, turn, options)
+        for old in kept[:-1]:
+            old.unpersist()
+        kept = kept[-1:]
         if options.early_stop:
             for k in sorted(active):
                 if losses.get(k) is not None and k in before and before[k] - losses[k] < options.min_progress * before[k]:
@@ -368,17 +500,13 @@ def fit_forests(view: DataFrame, problem: Problem, options: BoostedOptions) -> d
             forests[k].append((c, t))
         if not active:
             break
-        after = advanced(state, problem, width, trees, options.depth)
+        state = advanced(state, problem, width, trees, options.depth)
         if (turn + 1) % WRITTEN_EVERY == 0:
-            after = stored(after, "boosting")
+            state = stored(state, "boosting")
         else:
-            after = after.persist(StorageLevel.MEMORY_AND_DISK)
-            after.count()
-        if cached is not None:
-            cached.unpersist()
-        cached, state = after, after
-    if cached is not None:
-        cached.unpersist()
+            kept.append(state.persist(StorageLevel.MEMORY_AND_DISK))
+    for old in kept:
+        old.unpersist()
     padded = [np.append(c, np.full(256 - len(c), np.inf)) for c in cuts]
     return {k: _scorer(forests[k], padded, problem.n_classes, options.depth, width) for k in problem.folds}
 

@@ -343,7 +343,7 @@ def test_models_too_large_to_send_are_refused(spark, rows, monkeypatch):
 
     view = c.vectors(rows, P.features)
     boosted = c.fit_folds("xgb", view, P, c.BoostedOptions(rounds=1, depth=1, early_stop=False))[0]
-    monkeypatch.setattr(bo, "MAX_NODES", 3)
+    monkeypatch.setattr(bo, "MAX_BROADCAST_BYTES", 10)
     with pytest.raises(ValueError, match="too large"):
         boosted.probabilities(view, "p")
     monkeypatch.setattr(module, "MAX_BROADCAST_BYTES", 10)
