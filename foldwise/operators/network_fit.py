@@ -1,11 +1,12 @@
 """Fitting dense networks of all folds together: rectified units, dropout, normalisation, Adam, stop on the evaluation fold.
 
-A step is one job over a mini-batch, a share of the rows drawn by a hash of id and pass. Every task sums the gradients of its rows for
-each fold that does not evaluate on them; the sums are merged segment by segment, and the driver, which holds nothing but weights, takes
-the Adam step. The first step of a pass also gives the loss of each fold's own rows, which ends the fold's fit.
+A pass over the rows is one job that reads them once. Each task begins with the same weights and takes Adam steps over mini-batches of its own
+rows, for every fold that does not evaluate on them; what it ends with, moments included, is averaged over the tasks by the rows each has
+learnt from, segment by segment where there are many tasks. The driver holds nothing but weights. Mini-batches are as large as the options
+say, however many rows there are. A pass also gives the loss of each fold's own rows under the weights it began with, which ends the
+fold's fit.
 
-Normalisation uses the statistics of a task's share of the batch, as is usual when data are split; running means of them become part of
-the next layer when the fit ends, so that the result is a plain network.
+Normalisation uses the statistics of the mini-batch; running means of them become part of the next layer when the fit ends, so that the result is a plain network.
 """
 
 from __future__ import annotations
@@ -23,32 +24,36 @@ from pyspark.sql import functions as F
 from foldwise.operators.network import MAX_BROADCAST_BYTES, Dense, Network, _matrix
 from foldwise.schema import Problem
 
-SEGMENT = 1 << 16
-ROWS_PER_TASK = 4096
-COLLECTED_BYTES = 64 << 20  # partial sums of all tasks that may go to the driver unmerged
+SEGMENT = 1 << 16  # numbers that are averaged as one row
+COLLECTED_BYTES = 64 << 20  # what all tasks end with, if it may go to the driver unmerged
 EPS = 1e-3  # added to variances
 MOMENTUM = 0.9  # of the running statistics
 
 
 @dataclass(frozen=True)
 class NetworkOptions:
-    """``max_iter`` passes of mini-batches of about ``batch_rows`` rows, but at most ``most_steps`` steps a pass.
+    """``max_iter`` passes of mini-batches of about ``batch_rows`` rows; a task takes about ``task_rows`` rows where there are few.
 
-    The bound on steps makes batches grow with the data: a step is a distributed job. A fold ends when its evaluation loss has not
-    improved by ``min_progress`` of itself for ``patience`` passes; it keeps its best weights. ``normalise`` puts a normalisation
-    behind every hidden layer but the last; dropout is applied there too, or behind every hidden layer without it.
+    A fold ends when its evaluation loss has not improved by ``min_progress`` of itself for ``patience`` passes; it keeps its best weights.
+    ``normalise`` puts a normalisation behind every hidden layer but the last; dropout is applied there too, or behind every hidden
+    layer without it.
     """
 
     hidden: tuple[int, ...] = (256, 128, 256)
     dropout: float = 0.3
     rate: float = 0.001
     batch_rows: int = 512
-    most_steps: int = 16
+    task_rows: int = 2048
     max_iter: int = 100
     min_progress: float = 0.0001
     patience: int = 1
     normalise: bool = False
     seed: int = 7
+    double: bool = False  # steps in double precision
+
+    @property
+    def kind(self) -> type:
+        return np.float64 if self.double else np.float32
 
 
 class Weights:
@@ -135,7 +140,7 @@ def masks(rng: np.random.Generator, n: int, sizes: tuple[int, ...], options: Net
     out = []
     for i, size in enumerate(sizes[1:-1]):
         share = 0.0 if options.normalise and i == len(sizes) - 3 else options.dropout
-        out.append((rng.random((n, size)) >= share).astype(np.float32) / np.float32(1 - share))
+        out.append((rng.random((n, size)) >= share).astype(options.kind) / options.kind(1 - share))
     return out
 
 
@@ -154,120 +159,156 @@ def plain_network(w: Weights, running: list, mean, std) -> Network:
     return Network(tuple(layers)).on_raw_inputs(mean, std)
 
 
-def fit_networks(view: DataFrame, problem: Problem, scalers: dict, options: NetworkOptions) -> tuple[dict[int, Network], dict[int, int]]:
-    """A network per fold, and how many passes each took. ``view``: id, n_fold, target, features (a vector), best stored."""
-    spark = view.sparkSession
-    width = len(scalers[problem.folds[0]][0])
-    sizes = (width, *options.hidden, problem.n_classes)
-    normalised = len(options.hidden) - 1 if options.normalise else 0
-    weights = {k: Weights.drawn(sizes, normalised, options.seed + 1000 * k) for k in problem.folds}
-    size = sum(w.flat.nbytes for w in weights.values())
-    if size > MAX_BROADCAST_BYTES:
-        raise ValueError(f"networks of {size} bytes are too large to send to every executor")
+@dataclass
+class Fit:
+    """What a pass begins and ends with for one fold: weights, Adam's moments, running statistics, steps taken."""
+
+    weights: Weights
+    first: np.ndarray
+    second: np.ndarray
+    running: list[tuple[np.ndarray, np.ndarray]]
+    steps: float = 0.0
+
+    @classmethod
+    def begun(cls, weights: Weights) -> "Fit":
+        running = [(np.zeros(s), np.ones(s)) for s in weights.sizes[1 : 1 + weights.normalised]]
+        return cls(weights, np.zeros_like(weights.flat), np.zeros_like(weights.flat), running)
+
+    def step(self, x: np.ndarray, labels: np.ndarray, dropped: list[np.ndarray], rate: float) -> None:
+        """One Adam step on the mean gradient of a mini-batch."""
+        total, found = gradient(self.weights, x, labels, dropped)
+        g = total / len(x)
+        self.steps += 1
+        self.first += 0.1 * (g - self.first)
+        self.second += 0.001 * (g * g - self.second)
+        self.weights.flat -= rate * (self.first / (1 - 0.9**self.steps)) / (np.sqrt(self.second / (1 - 0.999**self.steps)) + 1e-7)
+        for i, (mean, variance) in enumerate(found[: len(self.running)]):
+            old = self.running[i]
+            self.running[i] = (MOMENTUM * old[0] + (1 - MOMENTUM) * mean, MOMENTUM * old[1] + (1 - MOMENTUM) * variance)
+
+    def numbers(self, kind: type = np.float32) -> np.ndarray:
+        return np.concatenate([self.weights.flat, self.first, self.second, *[v for pair in self.running for v in pair], [self.steps]]).astype(kind)
+
+    def of(self, numbers: np.ndarray) -> "Fit":
+        """Such a fit with other numbers."""
+        n, w = len(self.weights.flat), self.weights
+        parts, at = [numbers[i * n : (i + 1) * n].copy() for i in range(3)], 3 * n
+        running = []
+        for mean, _ in self.running:
+            running.append((numbers[at : at + len(mean)], numbers[at + len(mean) : at + 2 * len(mean)]))
+            at += 2 * len(mean)
+        return Fit(Weights(w.sizes, w.normalised, parts[0]), parts[1], parts[2], running, float(numbers[at]))
+
+
+def training_rows(view: DataFrame, task_rows: int) -> DataFrame:
     rows = view.select("id", "n_fold", (F.col("target") - 1).cast("int").alias("label"), vector_to_array("features").alias("x"))
-    n = view.count()
-    rows = rows.coalesce(max(1, -(-n // ROWS_PER_TASK)))  # fewer tasks for few rows; never more
-    steps = int(min(options.most_steps, max(1, -(-n * (problem.n_folds - 1) // problem.n_folds // options.batch_rows))))
-    running = {k: [(np.zeros(s), np.ones(s)) for s in options.hidden[:normalised]] for k in problem.folds}
-    first, second = ({k: np.zeros_like(w.flat) for k, w in weights.items()} for _ in range(2))
-    best = {k: (np.inf, weights[k].flat.copy(), list(running[k])) for k in problem.folds}
-    waited, passes, taken, active = {k: 0 for k in problem.folds}, {k: 0 for k in problem.folds}, 0, set(problem.folds)
-    for turn in range(options.max_iter + 1):
-        for step in range(steps):
-            batch = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(steps)) == step
-            chosen = rows.withColumn("train", batch)
-            chosen = chosen if step == 0 else chosen.filter("train")
-            sums = _sums(spark, chosen, {k: weights[k].flat.astype(np.float32) for k in active}, running, scalers, sizes, normalised, options, taken, step == 0)
-            if step == 0:
-                for k in sorted(active):
-                    loss, count = sums[k]["loss"], sums[k]["n_eval"]
-                    if not count:
-                        best[k] = (np.inf, weights[k].flat.copy(), list(running[k]))
-                        continue
-                    if loss / count < best[k][0] * (1 - options.min_progress):
-                        best[k], waited[k] = (loss / count, weights[k].flat.copy(), list(running[k])), 0
-                    else:
-                        waited[k] += 1
-                        if waited[k] >= options.patience:
-                            active.discard(k)
-                if not active or turn == options.max_iter:
-                    break
-            taken += 1
-            for k in active:
-                if not sums[k]["n"]:
-                    continue
-                g = sums[k]["gradient"] / sums[k]["n"]
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                weights[k].flat -= options.rate * (first[k] / (1 - 0.9**taken)) / (np.sqrt(second[k] / (1 - 0.999**taken)) + 1e-7)
-                for i, (mean, variance) in enumerate(sums[k]["statistics"]):
-                    old = running[k][i]
-                    running[k][i] = (MOMENTUM * old[0] + (1 - MOMENTUM) * mean, MOMENTUM * old[1] + (1 - MOMENTUM) * variance)
-        if not active or turn == options.max_iter:
-            break
-        for k in active:
-            passes[k] += 1
-    for k in problem.folds:
-        weights[k].flat[:] = best[k][1]
-    return {k: plain_network(weights[k], best[k][2], *scalers[k]) for k in problem.folds}, passes
+    return rows.coalesce(max(1, -(-view.count() // task_rows)))  # fewer tasks for few rows; never more than partitions
 
 
-def _sums(spark, rows: DataFrame, flat: dict, running: dict, scalers: dict, sizes: tuple, normalised: int, options: NetworkOptions, step: int, evaluating: bool) -> dict:
-    """Per fold: gradient and count over the batch, means of the statistics, and the loss of the fold's own rows."""
-    held = spark.sparkContext.broadcast({k: (flat[k], running[k], scalers[k]) for k in flat})
-    total = len(next(iter(flat.values())))
-    inner = sum(2 * s for s in sizes[1 : 1 + normalised])
+def trained(rows: DataFrame, fits: dict[int, Fit], scalers: dict, options: NetworkOptions, turn: int) -> tuple[dict[int, Fit], dict[int, tuple[float, int]]]:
+    """The fits after one pass over ``rows`` (see ``training_rows``), and (loss, rows) of each fold's own rows before it."""
+    spark = rows.sparkSession
+    sizes, normalised = next(iter(fits.values())).weights.sizes, next(iter(fits.values())).weights.normalised
+    kind = options.kind
+    held = spark.sparkContext.broadcast({k: (f.numbers(kind), scalers[k]) for k, f in fits.items()})
+    width = {k: len(f.numbers()) for k, f in fits.items()}
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        folds = {k: (Weights(sizes, normalised, f), s, (np.asarray(c[0]), np.asarray(c[1]))) for k, (f, s, c) in held.value.items()}
-        out = {k: np.zeros(total + inner + 4) for k in folds}  # gradient, statistics, n, their weight, loss, n_eval
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blank = Fit.begun(Weights(sizes, normalised))
+        begun = {k: (blank.of(v), np.asarray(c[0]), np.asarray(c[1])) for k, (v, c) in held.value.items()}
+        own_fits = {k: blank.of(v) for k, (v, _) in held.value.items()}
+        seen, loss, judged = ({k: 0 for k in begun} for _ in range(3))
+        task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
             if not batch.num_rows:
                 continue
-            x, labels = _matrix(batch.column("x"), sizes[0]), batch.column("label").to_numpy()
-            own, train = batch.column("n_fold").to_numpy(), batch.column("train").to_numpy(zero_copy_only=False)
-            for k, (w, stats, (mean, std)) in folds.items():
-                if evaluating and (own == k).any():
-                    mine = own == k
-                    p = passed(w, ((x[mine] - mean) / std).astype(np.float32), list(stats), None)
-                    out[k][-2] -= np.log(np.maximum(p[np.arange(mine.sum()), labels[mine]], 1e-15)).sum()
-                    out[k][-1] += mine.sum()
-                mine = (own != k) & train
-                if mine.any():
-                    rng = np.random.default_rng([options.seed, step, k, TaskContext.get().partitionId(), number])
-                    g, found = gradient(w, ((x[mine] - mean) / std).astype(np.float32), labels[mine], masks(rng, int(mine.sum()), sizes, options))
-                    out[k][:total] += g
-                    seen = [v for pair in found[:normalised] for v in pair]
-                    out[k][total : total + inner] += mine.sum() * np.concatenate([*seen, np.empty(0)])
-                    out[k][total + inner] += mine.sum()
-        for k, values in out.items():
-            for s in range(0, len(values), SEGMENT):
-                part = values[s : s + SEGMENT]
-                if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([s], pa.int64()), pa.array([part.tobytes()], pa.binary())], names=["fold", "segment", "part"])
+            x, labels, own = _matrix(batch.column("x"), sizes[0]), batch.column("label").to_numpy(), batch.column("n_fold").to_numpy()
+            for k, (start, mean, std) in begun.items():
+                mine = np.nonzero(own == k)[0]
+                if len(mine):
+                    p = passed(start.weights, ((x[mine] - mean) / std).astype(kind), list(start.running), None)
+                    loss[k] -= float(np.log(np.maximum(p[np.arange(len(mine)), labels[mine]], 1e-15)).sum())
+                    judged[k] += len(mine)
+                others = np.nonzero(own != k)[0]
+                if not len(others):
+                    continue
+                rng = np.random.default_rng([options.seed, turn, k, task, number])
+                count = max(1, round(len(others) / options.batch_rows))
+                for some in np.array_split(rng.permutation(others) if count > 1 else others, count):
+                    own_fits[k].step(((x[some] - mean) / std).astype(kind), labels[some], masks(rng, len(some), sizes, options), options.rate)
+                seen[k] += len(others)
+        for k, fit in own_fits.items():
+            yield _part(k, -1, 0, np.array([loss[k], judged[k]]))
+            if seen[k]:  # a task without rows to learn from has no say
+                values = fit.numbers(kind)
+                for s in range(0, len(values), SEGMENT):
+                    yield _part(k, s, seen[k], values[s : s + SEGMENT])
 
     def add(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = None
-        for batch in parts:
-            for part in batch.column("part"):
-                values = np.frombuffer(part.as_py())
-                whole = values if whole is None else whole + values
-        yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], pa.int64()) for k in key] + [pa.array([whole.tobytes()], pa.binary())], names=["fold", "segment", "part"])
-
-    schema = "fold long, segment long, part binary"
-    found = {k: np.zeros(total + inner + 4) for k in flat}
-    parts = rows.select("n_fold", "label", "x", "train").mapInArrow(gather, schema)
-    if parts.rdd.getNumPartitions() * len(flat) * (total + inner) * 8 > COLLECTED_BYTES:
+        fold, segment = (k.as_py() for k in key)
+        yield _part(fold, segment, *_mean_of(kind, segment, (r for batch in parts for r in zip(batch.column("n").to_pylist(), batch.column("part").to_pylist()))))
+
+    schema = "fold long, segment long, n long, part binary"
+    parts = rows.select("n_fold", "label", "x").mapInArrow(learn, schema)
+    if rows.rdd.getNumPartitions() * sum(width.values()) * kind().nbytes > COLLECTED_BYTES:
         parts = parts.groupBy("fold", "segment").applyInArrow(add, schema)
+    found: dict[tuple, list] = {}
     for r in parts.collect():
-        part = np.frombuffer(bytes(r["part"]))
-        found[r["fold"]][r["segment"] : r["segment"] + len(part)] += part
+        found.setdefault((r["fold"], r["segment"]), []).append((r["n"], bytes(r["part"])))
     held.destroy()
-    out = {}
-    for k, values in found.items():
-        n, statistics, at = values[total + inner], [], total
-        for s in sizes[1 : 1 + normalised]:
-            statistics.append((values[at : at + s] / max(n, 1), values[at + s : at + 2 * s] / max(n, 1)))
-            at += 2 * s
-        out[k] = {"gradient": values[:total], "statistics": statistics if n else [], "n": n, "loss": values[-2], "n_eval": values[-1]}
-    return out
+    after, losses = {}, {k: (0.0, 0) for k in fits}
+    values = {k: np.zeros(n, kind) for k, n in width.items()}
+    for (k, segment), some in found.items():
+        n, whole = _mean_of(kind, segment, some)
+        if segment < 0:
+            losses[k] = (float(whole[0]), int(whole[1]))
+        else:
+            values[k][segment : segment + len(whole)] = whole
+            after[k] = fits[k]
+    return {k: fits[k].of(values[k]) if k in after else fits[k] for k in fits}, losses
+
+
+def _part(fold: int, segment: int, n: int, values: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([v], pa.int64()) for v in (fold, segment, n)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([values.tobytes()], pa.binary())], names=["fold", "segment", "n", "part"])
+
+
+def _mean_of(kind: type, segment: int, parts) -> tuple[int, np.ndarray]:
+    """Rows and mean of numbers of that kind; of a loss (segment -1) the sum."""
+    total, rows = 0.0, 0
+    for n, part in parts:
+        total = total + (np.frombuffer(part) if segment < 0 else np.float64(n) * np.frombuffer(part, kind))
+        rows += n
+    return rows, total if segment < 0 else (total / rows).astype(kind)
+
+
+def fit_networks(view: DataFrame, problem: Problem, scalers: dict, options: NetworkOptions) -> tuple[dict[int, Network], dict[int, int]]:
+    """A network per fold, and how many passes each took. ``view``: id, n_fold, target, features (a vector), best stored."""
+    sizes = (len(scalers[problem.folds[0]][0]), *options.hidden, problem.n_classes)
+    normalised = len(options.hidden) - 1 if options.normalise else 0
+    fits = {k: Fit.begun(Weights.drawn(sizes, normalised, options.seed + 1000 * k)) for k in problem.folds}
+    size = sum(f.numbers().nbytes for f in fits.values())
+    if size > MAX_BROADCAST_BYTES:
+        raise ValueError(f"networks of {size} bytes are too large to send to every executor")
+    rows = training_rows(view, options.task_rows)
+    best: dict[int, tuple[float, Fit]] = {k: (np.inf, f) for k, f in fits.items()}
+    waited, passes, active = {k: 0 for k in problem.folds}, {k: 0 for k in problem.folds}, set(problem.folds)
+    for turn in range(options.max_iter + 1):
+        # the pass behind the last one only judges
+        after, losses = trained(rows, {k: fits[k] for k in sorted(active)}, scalers, options, turn)
+        for k in sorted(active):
+            loss, count = losses[k]
+            if not count:
+                best[k] = (np.inf, fits[k])
+            elif loss / count < best[k][0] * (1 - options.min_progress):
+                best[k], waited[k] = (loss / count, fits[k]), 0
+            else:
+                waited[k] += 1
+                if waited[k] >= options.patience:
+                    active.discard(k)
+        if not active or turn == options.max_iter:
+            break
+        for k in active:
+            fits[k] = after[k]
+            passes[k] += 1
+    return {k: plain_network(best[k][1].weights, best[k][1].running, *scalers[k]) for k in problem.folds}, passes

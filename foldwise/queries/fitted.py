@@ -1,7 +1,7 @@
 """Fitted models. Their numbers depend on seeds and on the order of sums, so what is compared are
 properties: which rows a table has, that probabilities are probabilities, that a model has learnt.
 
-All of them share one run per input folder. Estimators are fitted with their own options, but boosted trees learn
+All of them share one run per input folder. Estimators are fitted with their own options, but boosted trees other than those of the raw view learn
 at a higher rate, so that their stop rule, which ends them, is reached in fewer rounds. The rows are always all rows.
 """
 
@@ -29,6 +29,7 @@ from foldwise.sources.scratch import remove, scratch_path, stored
 P = fx.LETTERS
 
 OPTIONS = {
+    "xgb_model": BoostedOptions(),
     "xgb": BoostedOptions(rate=0.3),
     "xgb_stacking": BoostedOptions(rate=0.3, depth=4, min_child=1),
 }

@@ -186,26 +186,52 @@ def test_plain_network_scores_as_the_normalised_one():
     assert network.forward(x) == pytest.approx(nf.passed(w, (x - mean) / std, list(running), None), abs=1e-9)
 
 
-def test_one_step_is_the_gradient_over_all_tasks(spark, rows, monkeypatch):
-    """Sums over tasks, merged by segments or added on the driver, equal the sum over all rows."""
-    view = c.vectors(rows, P.features).repartition(3)
+@pytest.mark.parametrize("normalise", [False, True])
+def test_a_pass_is_the_mean_of_what_tasks_learn(rows, monkeypatch, normalise):
+    """One mini-batch a task: Adam's step on its mean gradient, averaged by rows; merged by segments or added on the driver."""
     scalers = {k: ([0.1, 0.2, 0.3], [2.0, 1.0, 0.5]) for k in P.folds}
-    options = nf.NetworkOptions(hidden=(4,), dropout=0.0)
-    w = nf.Weights.drawn((3, 4, 3), 0, 1)
-    frame = view.select("id", "n_fold", (F.col("target") - 1).cast("int").alias("label"), vector_to_array("features").alias("x"), F.lit(True).alias("train"))
-    pdf = frame.toPandas()
-    x = (np.stack(pdf.x) - scalers[0][0]) / scalers[0][1]
+    options = nf.NetworkOptions(hidden=(4, 4), dropout=0.0, normalise=normalise, rate=0.01, batch_rows=10_000, task_rows=1)
+    frame = nf.training_rows(c.vectors(rows, P.features).repartition(3, "id"), 1)
+    parts = [g for _, g in frame.withColumn("task", F.spark_partition_id()).toPandas().groupby("task")]
+    assert len(parts) == 3
+    begun = {k: nf.Fit.begun(nf.Weights.drawn((3, 4, 4, 3), int(normalise), k)) for k in P.folds}
     for most in (nf.COLLECTED_BYTES, 0):
         monkeypatch.setattr(nf, "COLLECTED_BYTES", most)
         monkeypatch.setattr(nf, "SEGMENT", 7)
-        sums = nf._sums(spark, frame, {k: w.flat.astype(np.float32) for k in P.folds}, {k: [] for k in P.folds}, scalers, (3, 4, 3), 0, options, 0, True)
+        after, losses = nf.trained(frame, begun, scalers, options, 0)
         for k in P.folds:
-            others = (pdf.n_fold != k).to_numpy()
-            want, _ = nf.gradient(w, x[others], pdf.label.to_numpy()[others], [np.ones((others.sum(), 4))])
-            assert sums[k]["gradient"] == pytest.approx(want, abs=1e-3) and sums[k]["n"] == others.sum()
-            p = nf.passed(w, x[~others], [], None)
-            assert sums[k]["loss"] == pytest.approx(-np.log(p[np.arange(len(p)), pdf.label.to_numpy()[~others]]).sum(), rel=1e-4)
-            assert sums[k]["n_eval"] == (~others).sum()
+            ends, seen, loss, judged = [], [], 0.0, 0
+            for part in parts:
+                x, labels = (np.stack(part.x) - scalers[0][0]) / scalers[0][1], part.label.to_numpy()
+                mine = (part.n_fold != k).to_numpy()
+                fit = begun[k].of(begun[k].numbers())
+                g, found = nf.gradient(fit.weights, x[mine].astype(np.float32), labels[mine], [np.ones((mine.sum(), 4), np.float32)] * 2)
+                g = g / mine.sum()
+                ends.append(np.concatenate([fit.weights.flat - 0.01 * g / (np.abs(g) + 1e-7), 0.1 * g, 0.001 * g * g, *[0.9 * o + 0.1 * f for o, f in zip((np.zeros(4), np.ones(4)), found[0] or ())], [1]]))
+                seen.append(mine.sum())
+                p = nf.passed(begun[k].weights, x[~mine], list(begun[k].running), None)
+                loss, judged = loss - np.log(p[np.arange(len(p)), labels[~mine]]).sum(), judged + len(p)
+            assert after[k].numbers() == pytest.approx(np.average(ends, axis=0, weights=seen), abs=2e-4)
+            assert losses[k] == (pytest.approx(loss, rel=1e-4), judged)
+
+
+def test_mini_batches_do_not_grow_with_the_rows(rows):
+    """Steps of a pass follow from the rows of a task and the size of a batch."""
+    frame = nf.training_rows(c.vectors(rows, P.features).repartition(1), 10_000)
+    n = {k: frame.filter(F.col("n_fold") != k).count() for k in P.folds}
+    scalers = {k: ([0.0] * 3, [1.0] * 3) for k in P.folds}
+    for size in (10, 40):
+        options = nf.NetworkOptions(hidden=(4,), batch_rows=size)
+        after, _ = nf.trained(frame, {k: nf.Fit.begun(nf.Weights.drawn((3, 4, 3), 0, 1)) for k in P.folds}, scalers, options, 0)
+        assert {k: f.steps for k, f in after.items()} == {k: round(v / size) for k, v in n.items()}
+
+
+def test_a_task_with_one_fold_only_has_no_say_in_its_model(rows):
+    frame = nf.training_rows(c.vectors(rows, P.features).filter("n_fold = 0").repartition(2), 1)
+    scalers = {k: ([0.0] * 3, [1.0] * 3) for k in P.folds}
+    begun = {k: nf.Fit.begun(nf.Weights.drawn((3, 4, 3), 0, 1)) for k in P.folds}
+    after, losses = nf.trained(frame, begun, scalers, nf.NetworkOptions(hidden=(4,)), 0)
+    assert after[0] is begun[0] and after[1].steps > 0 and losses[1] == (0.0, 0) and losses[0][1] > 0
 
 
 def _boosting_rows(rows):
