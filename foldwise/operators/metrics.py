@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 from foldwise.functions.columns import required
 from foldwise.operators.predict import to_arrays
 from foldwise.schema import EVAL_SCHEMA, METRICS, Problem
-from foldwise.sources.scratch import replace_partitions
+from foldwise.sources.scratch import add_partition
 
 EPS = 1e-15
 
@@ -154,20 +157,49 @@ def merge_metrics(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def upsert_metrics(source: DataFrame, table: str) -> None:
-    """Merge into a stored table partitioned by (model, fold); only the given partitions are replaced."""
+    """Merge into a stored table by (model, fold).
+
+    The table is a view over a log: each call adds its rows as one file in a partition of its own, and the last row of a key is the one that
+    counts. So writers of the same key leave one whole row, and a call that dies leaves nothing.
+    """
     spark = source.sparkSession
     create_metrics_table(spark, table)
     nothing = spark.createDataFrame([], EVAL_SCHEMA)
-    rows = merge_metrics(nothing, source).select(
-        *[required(F.col(m), f"metric {m} is NULL").alias(m) for m in METRICS], "model_name", "n_fold"
-    )
-    # a handful of rows: one file per partition
-    replace_partitions(spark, [tuple(r) for r in rows.collect()], rows.schema, table)
+    rows = merge_metrics(nothing, source).select("model_name", "n_fold", *[required(F.col(m), f"metric {m} is NULL").alias(m) for m in METRICS])
+    found = [tuple(r) for r in rows.collect()]  # models x folds
+    if any(r[0] is None or r[1] is None for r in found):
+        raise ValueError("metrics need a model_name and a n_fold")
+    written = (time.time_ns(), uuid.uuid4().hex)
+    if found:
+        add_partition(spark, [(*r, *written) for r in found], f"{_ROW}, written bigint, writer string", _log(table))
+
+
+_ROW = "model_name string, n_fold bigint, " + ", ".join(f"{m} double" for m in METRICS)
+
+
+def _log(table: str) -> str:
+    quoted = table.endswith("`")
+    return table.rstrip("`") + "_log" + "`" * quoted
 
 
 def create_metrics_table(spark, table: str) -> None:
-    columns = ", ".join(f"{m} double" for m in METRICS)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_log(table)} ({_ROW}, written bigint, writer string) USING parquet PARTITIONED BY (writer)")
+    last = ", ".join(f"last.{m} AS {m}" for m in METRICS)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, model_name string, n_fold bigint) "
-        "USING parquet PARTITIONED BY (model_name, n_fold)"
+        f"CREATE VIEW IF NOT EXISTS {table} AS SELECT model_name, n_fold, {last} FROM ("
+        f"SELECT model_name, n_fold, max_by(struct({', '.join(METRICS)}), struct(written, writer)) AS last FROM {_log(table)} GROUP BY model_name, n_fold)"
     )
+
+
+def compact_metrics(spark, table: str) -> None:
+    """One file with the last rows instead of one per call. Rows that others add meanwhile stay: only what was read is dropped."""
+    log = spark.table(_log(table))
+    read = [r["writer"] for r in log.select("writer").distinct().collect()]
+    key = ["model_name", "n_fold"]
+    whole = F.struct(*METRICS, "written")
+    last = log.filter(F.col("writer").isin(read)).groupBy(*key).agg(F.max_by(whole, F.struct("written", "writer")).alias("last")).select(*key, "last.*")
+    rows = [(*r, uuid.uuid4().hex) for r in last.collect()]  # models x folds
+    if rows:
+        add_partition(spark, [(*r[:-1], rows[0][-1]) for r in rows], log.schema, _log(table))
+    for writer in read:
+        spark.sql(f"ALTER TABLE {_log(table)} DROP IF EXISTS PARTITION (writer = '{writer}')")

@@ -58,7 +58,27 @@ def declared_table(spark, sf):
 
 @query("not_null_checked", f"{BASE} SELECT id, n_fold, target, label, {r6('prob')} FROM {oof_sql(1)}")
 def not_null_checked(spark, sf):
-    return rounded(enforce(linear_oof(spark, sf, 1), OOF_SCHEMA))
+    """A declared table that no writer can put a NULL into, also after its rows were replaced."""
+    tables = dataset(spark)
+    tables.replace(enforce(linear_oof(spark, sf, 1), OOF_SCHEMA), "pred", OOF_SCHEMA)
+    bad = "SELECT id, n_fold, target, label, CAST(NULL AS DOUBLE) AS prob FROM pred LIMIT 1"
+    writers = (
+        lambda: tables.append(tables.fetch(bad), "pred"),
+        lambda: tables.insert_frame(tables.fetch(bad), "pred"),
+        lambda: tables.insert_query("pred", bad, "WRITE_APPEND"),
+        lambda: tables.insert_query("pred", bad),
+        lambda: tables.replace(tables.fetch(bad), "pred", OOF_SCHEMA),
+    )
+    for write in writers:
+        try:
+            write()
+        except Exception as error:
+            if "column prob is NULL" not in str(error):
+                raise
+        else:
+            raise AssertionError("a NULL was written into a required column")
+        tables.insert_query("pred", "SELECT * FROM pred")
+    return rounded(tables.read("pred"))
 
 
 @query("write_modes", f"{BASE} SELECT id, count(*) AS n FROM (SELECT id FROM test UNION ALL SELECT id FROM test WHERE feat_1 > 100) GROUP BY id")
@@ -107,6 +127,17 @@ def partitioned_table(spark, sf):
     return rounded(found, 4)
 
 
+@query("load_date_table", "SELECT event_type, count(*) AS n, round(sum(value), 4) + 0.0 AS total FROM events GROUP BY event_type")
+def load_date_table(spark, sf):
+    """A table partitioned by the day its rows come in, which its columns do not show; all of them came today or, past midnight, yesterday."""
+    tables = dataset(spark)
+    tables.create("events", {**EVENTS, "timePartitioning": {"type": "DAY"}})
+    tables.append(fx.load(spark, sf, "events").withColumn("day", F.to_date("ts")), "events")
+    today = F.current_date()
+    found = tables.loaded("events", F.date_sub(today, 1), today)
+    return rounded(found.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")), 4)
+
+
 @query("copied_table", f"{BASE} SELECT * FROM test")
 def copied_table(spark, sf):
     source, target = dataset(spark), dataset(spark)

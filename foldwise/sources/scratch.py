@@ -47,11 +47,11 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(f"{scratch_dir(spark)}/foldwise/lineage")
 
 
-def replace_partitions(spark: SparkSession, rows: list, schema, table: str) -> None:
-    """Write a handful of rows over the partitions they belong to; the other partitions stay.
+def add_partition(spark: SparkSession, rows: list, schema, table: str) -> None:
+    """Add a handful of rows as partitions of their own: writers of one table, each with partitions nobody else has, do not meet.
 
-    ``insertInto`` takes this mode from the session only. A session of its own shares the catalog and leaves the
-    caller's settings, and those of other writers, alone.
+    Only writes that replace partitions by name have a staging folder for each job, and ``insertInto`` takes that mode from the session. A
+    session of its own shares the catalog and leaves the caller's settings, and those of other writers, alone.
     """
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

@@ -121,3 +121,18 @@ def test_evaluate_shape(spark):
     out = evaluate(oof(spark, rows), "m", P)
     assert out.columns == ["model_name", "n_fold", *METRICS]
     assert [r.roc_auc for r in out.collect()] == [0.5, 0.5]
+
+
+def test_two_writers_of_one_key_leave_one_whole_row(spark):
+    from foldwise.operators.classifiers import concurrently
+    from foldwise.operators.metrics import compact_metrics
+
+    tables = dataset(spark)
+    name = tables.name("eval")
+    upsert_metrics(metrics_frame(spark, ("b", 0, 6)), name)
+    concurrently(spark, lambda i: upsert_metrics(metrics_frame(spark, ("a", 0, i), ("a", 1, i)), name), range(1, 9), 8)
+    rows = {(r.model_name, r.n_fold): {r[m] for m in METRICS} for r in tables.read("eval").collect()}
+    assert sorted(rows) == [("a", 0), ("a", 1), ("b", 0)] and rows["a", 0] == rows["a", 1] and len(rows["a", 0]) == 1
+    compact_metrics(spark, name)
+    assert {(r.model_name, r.n_fold): {r[m] for m in METRICS} for r in tables.read("eval").collect()} == rows
+    assert spark.table(tables.name("eval_log")).count() == 3

@@ -105,7 +105,7 @@ def test_second_level_scores_from_one_stored_view(run):
     scorers = run._scorers("dnn_stacking_model")
     text = plan(oof_predictions(run.second_level_view(), scorers, 2))
     assert "Join" not in text and "Exchange" not in text
-    assert {*re.findall(r"FileScan parquet (\S+)\[", text)} == {f"spark_catalog.{run.tables.dataset}.view_second_level"}
+    assert {*re.findall(r"FileScan parquet (\S+)\[", text)} == {f"spark_catalog.{run.tables.dataset}.{run.tables.version('view_second_level')}"}
 
 
 def test_a_fold_is_fitted_on_the_directories_of_the_others(run):
@@ -135,7 +135,7 @@ def test_rows_and_models_of_unknown_folds_raise(spark, run):
         odd = view.limit(1).withColumn("n_fold", F.lit(fold).cast("bigint"))
         with pytest.raises(Exception, match="no model for fold"):
             oof_predictions(view.unionByName(odd), scorers, 2).collect()
-    run._fitted["half_model"] = {0: scorers[0]}
+    run.models.save_folds("half_model", {0: scorers[0]})
     with pytest.raises(ValueError, match="has folds"):
         run._checked("half_model")
 
@@ -188,3 +188,48 @@ def test_saves_fits_and_upserts_side_by_side(spark, run):
     assert run.tables.read("eval").filter("model_name LIKE 'm%'").count() == 8
     assert run.models.list().filter("model_name LIKE 'm%'").count() == 8
     assert run.tables.read("eval").filter("model_name NOT LIKE 'm%'").count() == 8
+
+
+def test_a_refit_makes_later_tables_stale(run, spark):
+    """Own run, so that the shared one stays whole."""
+    tables = dataset(spark)
+    again = StackingRun(tables, Models(tables, scratch_path(spark, "models")), P, OPTIONS)
+    again.load(run.tables.read("train_folds").select("id", "feat_1", "feat_2", F.concat(F.lit("Class_"), "target").alias("target")), run.tables.read("test"))
+    folder = scratch_path(spark, "subs")
+    again.run(folder)
+    items = [f"table {t}" for t in ("logistic_oof_pred", "logistic_oof_log_pred", "logistic_test_pred", "view_second_level", "dnn_stacking_oof_pred")]
+    fresh = lambda: [again.ledger().fresh(i) for i in items]
+    assert fresh() == [True] * 5
+    again.fit(VARIANTS[0])
+    assert fresh() == [False, True, False, False, False]
+    with pytest.raises(ValueError, match="logistic_oof_pred"):
+        again.evaluate_all()
+    with pytest.raises(ValueError, match="logistic_test_pred"):
+        again.submissions(folder)
+    with pytest.raises(ValueError, match="older than what they are made from: logistic_oof_pred"):
+        again.fit_second_level("dnn")
+    # a run that is resumed does the stale steps only, and a killed one goes on where it stopped
+    done = []
+    for name in ("fit", "predict_oof", "predict_test", "fit_second_level", "predict_oof_second_level", "predict_test_second_level"):
+        step = getattr(again, name)
+
+        def told(what, step=step, name=name):
+            done.append((name, getattr(what, "model_name", what)))
+            if killed and name == "predict_oof_second_level":
+                raise RuntimeError("killed")
+            step(what)
+
+        setattr(again, name, told)
+    killed = True
+    with pytest.raises(RuntimeError, match="killed"):
+        again.run(folder, resume=True)
+    first = [("predict_oof", "logistic_model"), ("predict_test", "logistic_model"), ("fit_second_level", "dnn")]
+    assert done == [*first, ("predict_oof_second_level", "dnn")]
+    killed = False
+    done.clear()
+    again.run(folder, resume=True)
+    assert done == [(n, m) for m in ("dnn", "xgb") for n in ("fit_second_level", "predict_oof_second_level", "predict_test_second_level")][1:]
+    assert fresh() == [True] * 5
+    # new rows make everything stale
+    again.load(run.tables.read("train_folds").filter("id < 40").select("id", "feat_1", "feat_2", F.concat(F.lit("Class_"), "target").alias("target")), run.tables.read("test"))
+    assert fresh() == [False] * 5
