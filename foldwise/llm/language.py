@@ -3,6 +3,10 @@
 The network reads windows of a text's bytes in both directions and gives every byte a distribution over languages; a document's
 distribution is the mean over all of its bytes. It is trained here, by backpropagation through time, on windows of a bounded sample of
 labelled documents. Scoring is one pass over the table without a shuffle, in Arrow batches.
+
+To reject texts in no learnt language, a network is given one more class, learnt from what is made of the sampled texts and is no
+language of theirs: letters in another order, letters drawn anew, letters put consistently for others, also of other scripts, and noise. How
+much of that class a clean text of some length may have is measured on labelled documents that the network has not seen.
 """
 
 from __future__ import annotations
@@ -20,7 +24,11 @@ from foldwise.llm.folds import held_out, sample
 HIDDEN, WINDOW = 12, 128
 #: the bound on what is learned from: documents of each language and in all, and windows of each document
 PER_LANGUAGE, MOST, WINDOWS = 240, 2400, 4
-UNDETERMINED = "und"
+UNDETERMINED, OTHER = "und", "other"
+#: lengths in bytes up to which a limit on the share of OTHER is measured, and the least limit
+LENGTHS, LEAST_LIMIT, MARGIN = (24, 64, 160, 400, 1000), 0.5, 0.1
+#: first letters and numbers of letters of other scripts
+SCRIPTS = ((0x0100, 96), (0x0391, 50), (0x0410, 64), (0x05D0, 27), (0x0627, 36), (0x0905, 50), (0x0E01, 46), (0x3041, 80), (0x4E00, 400), (0xAC00, 400))
 
 
 class Network:
@@ -29,6 +37,7 @@ class Network:
     def __init__(self, languages: list[str], seed: int = 7):
         rng = np.random.default_rng(seed)
         self.languages = languages
+        self.limits: list[float] = []  # of the share of OTHER, by length
         k, h = len(languages), HIDDEN
         self.w = {
             "bytes": rng.normal(0, 0.3, (2, 3 * h, 256)),
@@ -122,6 +131,28 @@ def windows(text: bytes) -> np.ndarray:
     return out.reshape(rows, WINDOW)
 
 
+def unlike(text: str, rng: np.random.Generator) -> str:
+    """A text that is no language of the sample's, made from one that is."""
+    kind = int(rng.choice([0, 0, 0, 1, 2, 3, 4]))  # the first is the hardest to tell
+    letters = sorted({c for c in text.lower() if c.isalpha()}) or ["a"]
+    if kind == 0:  # the same characters in another order, word by word or all
+        parts = [text] if rng.random() < 0.5 else text.split(" ")
+        return " ".join("".join(rng.permutation(list(p))) if p else p for p in parts)
+    if kind == 1:  # letters drawn anew
+        many = int(rng.integers(8, 26))
+        alphabet = list(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), many, replace=False))
+        return "".join(str(rng.choice(alphabet)) if c.isalpha() else c for c in text)
+    if kind == 2:  # a consistent exchange of letters, some of them for letters with marks
+        others = [*rng.permutation(list("abcdefghijklmnopqrstuvwxyz")), *(chr(0x0100 + int(i)) for i in rng.integers(0, 128, 10))]
+        put = dict(zip(letters, rng.choice(others, len(letters), replace=len(letters) > len(others))))
+        return "".join(str(put.get(c.lower(), c)) for c in text)
+    if kind == 3:  # another script
+        first, many = SCRIPTS[int(rng.integers(len(SCRIPTS)))]
+        put = {c: chr(first + int(i)) for c, i in zip(letters, rng.integers(0, many, len(letters)))}
+        return "".join(put.get(c.lower(), c) for c in text)
+    return "".join(chr(int(i)) for i in rng.integers(33, 127, len(text)))
+
+
 def train(texts: list[bytes], labels: list[str], seed: int = 7, passes: int = 6, batch: int = 128, rate: float = 0.02, least: int = 240) -> Network:
     """Adam over windows spread evenly over each text: so many passes, or more where they make fewer than ``least`` steps."""
     languages = sorted(set(labels))
@@ -173,8 +204,43 @@ def pooled(network: Network, texts: list[bytes], block: int = 1024) -> np.ndarra
     return sums / np.maximum(1, np.array([len(t) for t in texts]))[:, None]
 
 
-def learn(docs: DataFrame) -> Network | None:
-    """A network from labelled documents that are not held out; None without any. The sample's bounds are PER_LANGUAGE, MOST and WINDOWS."""
+def _learnt_with_other(texts: list[bytes], labels: list[str], seed: int = 7) -> Network:
+    """A network with the class OTHER. Each fifth text is kept back, to measure how much of OTHER a clean text of some length may have."""
+    rng = np.random.default_rng(seed)
+    kept_back = texts[::5]
+    learnt = [(t, n) for i, (t, n) in enumerate(zip(texts, labels)) if i % 5] or [*zip(texts, labels)]
+    wanted = max(1, 3 * len(learnt) // len(set(labels)))
+    drawn = [learnt[int(i)][0].decode() for i in rng.integers(0, len(learnt), wanted)]
+    # also short ones, as documents may be short
+    made = [unlike(t[: int(rng.integers(20, 200))] if rng.random() < 0.5 else t, rng).encode() for t in drawn]
+    short = [(t[: int(rng.integers(12, 100))], n) for t, n in learnt[::2]]
+    both = learnt + short
+    network = train([t for t, _ in both] + made, [n for _, n in both] + [OTHER] * len(made), seed)
+    other = network.languages.index(OTHER)
+    begins = [t[int(rng.integers(0, max(1, len(t) - n))) :][:n] for n in LENGTHS for t in kept_back]
+    shares = pooled(network, [*begins, *kept_back])[:, other].reshape(len(LENGTHS) + 1, -1) if kept_back else np.zeros((len(LENGTHS) + 1, 1))
+    network.limits = [min(0.98, max(LEAST_LIMIT, float(s.max()) + MARGIN)) for s in shares]
+    return network
+
+
+def judged(network: Network, p: np.ndarray, lengths: np.ndarray) -> tuple[list[str], list[float]]:
+    """The language of each text and its share among the languages; OTHER where its share is above the limit."""
+    if OTHER not in network.languages:
+        best = p.argmax(axis=1)
+        return [network.languages[i] for i in best], np.minimum(1.0, p[np.arange(len(p)), best]).tolist()
+    other = network.languages.index(OTHER)
+    share, rest = p[:, other], np.delete(p, other, axis=1)
+    names = [n for n in network.languages if n != OTHER]
+    best, limit = rest.argmax(axis=1), np.array(network.limits)[np.searchsorted(LENGTHS, lengths)]
+    scores = np.minimum(1.0, rest.max(axis=1) / np.maximum(rest.sum(axis=1), 1e-12))
+    return [OTHER if s > m else names[i] for s, m, i in zip(share, limit, best)], np.where(share > limit, np.minimum(1.0, share), scores).tolist()
+
+
+def learn(docs: DataFrame, other: bool = False) -> Network | None:
+    """A network from labelled documents that are not held out; None without any. The sample's bounds are PER_LANGUAGE, MOST and WINDOWS.
+
+    With ``other`` it also tells texts in no learnt language.
+    """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0) & ~held_out())
     # ids are drawn before texts are read
     drawn = sample(labelled.select("doc_id", "lang"), "lang", PER_LANGUAGE, MOST)
@@ -182,13 +248,14 @@ def learn(docs: DataFrame) -> Network | None:
         return None
     chosen = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in drawn], labelled.select("doc_id", "lang").schema).distinct()
     rows = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text").orderBy("doc_id", "text").collect()
-    return train([r["text"].encode() for r in rows], [r["lang"] for r in rows])
+    texts, labels = [r["text"].encode() for r in rows], [r["lang"] for r in rows]
+    return _learnt_with_other(texts, labels) if other else train(texts, labels)
 
 
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     """``docs`` with lang_pred and score (0 to 1) added; columns of these names are replaced.
 
-    All bytes of a text are read. NULL texts and texts without a letter get ``und`` and score 0, as does everything without a network. An
+    All bytes of a text are read. A network that knows OTHER gives it to texts in no learnt language. NULL texts and texts without a letter get ``und`` and score 0, as does everything without a network. An
     empty table gives an empty table.
     """
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
@@ -202,9 +269,9 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
                 named = [i for i, t in enumerate(texts) if t and network and any(map(str.isalpha, t))]
                 names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
                 if named:
-                    p = pooled(network, [texts[i].encode() for i in named])
-                    for i, best, row in zip(named, p.argmax(axis=1), p):
-                        names[i], scores[i] = network.languages[best], float(min(1.0, row[best]))
+                    own = [texts[i].encode() for i in named]
+                    for i, name, score in zip(named, *judged(network, pooled(network, own), np.array([len(t) for t in own]))):
+                        names[i], scores[i] = name, score
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*rest, "lang_pred", "score"])
 
     return docs.mapInArrow(batches_of, T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

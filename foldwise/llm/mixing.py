@@ -16,6 +16,7 @@ from foldwise.llm.common import WORD
 from foldwise.sources.scratch import stored
 
 TICKET_BITS, LEVEL_BITS, LEVELS = 60, 12, 3
+MOST_SOURCES = 100_000  # whose limits are sent to every executor
 
 
 def ticket(column: str = "doc_id"):
@@ -51,8 +52,27 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), ceiling: in
     one ticket and are taken together; so are rows without an id. NULL is a source of its own. An empty table gives an empty table.
     A source misses its target by at most half of the words of the one ticket at its boundary. Reruns agree.
     """
+    sizes = _sizes(docs)
+    limits = _limits(sizes, weights, ceiling)
+    return (
+        sizes.join(limits, sizes["source"].eqNullSafe(limits["source"]), "left")
+        .select("doc_id", sizes["source"], "size", "source_size", "target", _copies().alias("copies"))
+        .withColumn("taken", F.col("copies") * F.col("size"))
+    )
+
+
+def _sizes(docs: DataFrame) -> DataFrame:
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
-    sizes = stored(docs.select("doc_id", "source", size.alias("size"), ticket().alias("ticket")), "mix-sizes")
+    return stored(docs.select("doc_id", "source", size.alias("size"), ticket().alias("ticket")), "mix-sizes")
+
+
+def _copies():
+    """How often a document is taken, from its ticket and its source's limits."""
+    return (F.col("rounds") + F.when(F.col("ticket") <= F.col("threshold"), 1).otherwise(0)).cast("long")
+
+
+def _limits(sizes: DataFrame, weights: tuple[float, ...], ceiling: int) -> DataFrame:
+    """(source, source_size, target, rounds, rest, threshold): all that decides how often a document is taken, beside its ticket."""
     goals = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, ceiling)
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goals = goals.withColumn("rounds", rounds).withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size"))
@@ -72,13 +92,7 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), ceiling: in
     over, under = F.col("below") + F.col("words") - F.col("rest"), F.col("rest") - F.col("below")
     threshold = F.when((F.col("rest") > 0) & (over <= under), F.col("prefix")).otherwise(F.col("prefix") - 1)
     limits = exact.select("source", threshold.alias("threshold"))
-    limits = stored(goals.join(limits, goals["source"].eqNullSafe(limits["source"]), "left").select(goals["*"], limits["threshold"]), "mix-limits")
-    copies = F.col("rounds") + F.when(F.col("ticket") <= F.col("threshold"), 1).otherwise(0)
-    return (
-        sizes.join(limits, sizes["source"].eqNullSafe(limits["source"]), "left")
-        .select("doc_id", sizes["source"], "size", "source_size", "target", copies.cast("long").alias("copies"))
-        .withColumn("taken", F.col("copies") * F.col("size"))
-    )
+    return stored(goals.join(limits, goals["source"].eqNullSafe(limits["source"]), "left").select(goals["*"], limits["threshold"]), "mix-limits")
 
 
 def _at_boundary(rows: DataFrame, at: DataFrame) -> DataFrame:
@@ -99,11 +113,15 @@ def _crossing(rows: DataFrame, at: DataFrame, keep_words: bool = False) -> DataF
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), ceiling: int = 3) -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as ``mixture`` takes it, all columns kept."""
-    plan = mixture(docs, weights, ceiling)
-    # copies depend on source and ticket only, and rows that share both share the count
-    plan = plan.select(ticket().alias("__ticket"), F.col("source").alias("__source"), F.col("copies").alias("__copies")).distinct()
-    rows = docs.withColumn("__own", ticket())
-    same = (rows["__own"] == plan["__ticket"]) & rows["source"].eqNullSafe(plan["__source"])
-    taken = rows.join(plan.filter("__copies > 0"), same)
-    return taken.select(*[rows[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__nth")).drop("__nth")
+    """The mixed corpus: every row of ``docs`` as often as ``mixture`` takes it, all columns kept.
+
+    The limits of the sources go to all tasks and texts are not shuffled; only where sources are too many for that, documents are joined with
+    their limits by source.
+    """
+    limits = _limits(_sizes(docs), weights, ceiling).select(F.col("source").alias("__source"), "rounds", "threshold")
+    limits = limits.withColumnsRenamed({c: f"__{c}" for c in ("rounds", "threshold")})
+    limits = F.broadcast(limits) if limits.count() <= MOST_SOURCES else limits
+    copies = (F.col("__rounds") + F.when(ticket() <= F.col("__threshold"), 1).otherwise(0)).cast("int")
+    joined = docs.join(limits, docs["source"].eqNullSafe(limits["__source"]))
+    taken = joined.withColumn("__copies", copies).filter("__copies > 0")
+    return taken.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__nth")).drop("__nth")

@@ -2,9 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foldwise.llm.folds import held_out
-from foldwise.llm.language import WINDOW, Network, identify, learn, pooled, train, windows
+from foldwise.llm.language import LENGTHS, OTHER, WINDOW, Network, identify, learn, pooled, train, windows
 
 WIDE = "/root/testdata/sf0.01/documents.parquet"
 
@@ -76,3 +77,38 @@ def test_learning_is_repeatable():
 
 def test_empty(nothing, network):
     assert identify(nothing, network).count() == 0 and learn(nothing) is None
+
+
+FOREIGN = {
+    "polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "russian": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "greek": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+    "japanese": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "hungarian": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván.",
+    "finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki.",
+}
+
+
+def test_texts_in_no_learnt_language(spark):
+    """Foreign and random texts go, clean ones stay, also short ones: all on documents the network has not learnt from."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    network = learn(docs, other=True)
+    assert len(network.limits) == len(LENGTHS) + 1 and max(network.limits) < 0.99
+    clean = [r["text"] for r in docs.filter(held_out() & F.col("lang").isNotNull() & (F.length("text") > 300)).select("text").limit(150).collect()]
+    rng = np.random.default_rng(11)
+    letters = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(2, 9)))) for _ in range(n // 6))
+    noise = lambda n: "a" + "".join(chr(int(i)) for i in rng.integers(33, 127, n))
+    groups = {
+        "whole": clean,
+        "excerpts": [t[: int(rng.integers(60, 300))] for t in clean],
+        "short": [t[: int(rng.integers(15, 60))] for t in clean],
+        "letters": [letters(int(rng.integers(60, 800))) for _ in range(100)],
+        "noise": [noise(int(rng.integers(60, 800))) for _ in range(100)],
+        "shuffled": ["".join(rng.permutation(list(t))) for t in clean[:100]],
+        "foreign": [*FOREIGN.values()] * 3 + [" ".join([t] * 5) for t in FOREIGN.values()],
+    }
+    rows = [(g, t) for g, texts in groups.items() for t in texts]
+    found = identify(spark.createDataFrame(rows, "kind string, text string"), network).collect()
+    gone = {g: np.mean([r["lang_pred"] == OTHER for r in found if r["kind"] == g]) for g in groups}
+    assert gone["whole"] == 0 and gone["excerpts"] <= 0.01 and gone["short"] <= 0.03, gone
+    assert gone["letters"] >= 0.95 and gone["noise"] >= 0.95 and gone["shuffled"] >= 0.85 and gone["foreign"] >= 0.8, gone

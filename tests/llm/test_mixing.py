@@ -5,6 +5,7 @@ from collections import defaultdict
 import duckdb
 import pytest
 
+import foldwise.llm.mixing as module
 from foldwise.llm.mixing import mix, mixture
 from foldwise.llm.mixing_query import SQL
 
@@ -50,5 +51,13 @@ def test_mix_repeats_rows(documents):
     assert sorted(r["doc_id"] for r in mix(documents).collect()) == sorted(r["doc_id"] for r in mixed.collect())
 
 
+def test_texts_are_not_shuffled(documents, monkeypatch):
+    plan = mix(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    few = sorted(map(tuple, mix(documents).collect()), key=repr)
+    monkeypatch.setattr(module, "MOST_SOURCES", 0)
+    assert sorted(map(tuple, mix(documents).collect()), key=repr) == few
+
+
 def test_empty(nothing):
     assert mixture(nothing).count() == 0 and mix(nothing).count() == 0
