@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.llm.common import table
-from foldwise.llm.language import UNDETERMINED, identify, learn
+from foldwise.llm.language import OTHER, UNDETERMINED, identify, learn
 from foldwise.llm.lines import drop_repeated_lines
 from foldwise.llm.mixing import mix
 from foldwise.llm.packing import pack
@@ -18,21 +18,17 @@ from foldwise.llm.packing_query import word_tokenizer
 from foldwise.llm.simhash import first_of_each
 from foldwise.sources.scratch import stored
 
-#: a document goes if no language has a mean probability of this over its bytes; short clean texts have low scores too
-LEAST_SCORE = 0.35
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, and those whose best language has a score below LEAST_SCORE, go. The text stays as it is.
+    """Documents without letters, and those in no language that the documents' labels name, go. The text stays as it is.
 
     Where no document has a language to learn from, only documents without letters go.
     """
-    network = learn(docs)
+    network = learn(docs, other=True)
     # the columns the operator adds must not replace the documents' own
     own = {c: f"__{c}" for c in docs.columns if c in ("lang_pred", "score")}
     found = identify(docs.withColumnsRenamed(own), network)
     if network:
-        known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+        known = ~F.col("lang_pred").isin(UNDETERMINED, OTHER)
     else:
         known = F.exists(F.split(F.coalesce("text", F.lit("")), ""), lambda c: F.lower(c) != F.upper(c))
     return found.filter(known).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
