@@ -2,7 +2,8 @@
 
 A k-mer is ``k`` neighbouring words, and its occurrences in a text are numbered, so repeats count. The hash of (k-mer, number) puts each into
 one of ``tuples * picks`` classes, and the smallest hash of each class is picked. The picks of ``picks`` classes, in the order in which they
-stand in the text, are hashed to one entry of the fingerprint. Two texts share an entry if they share its picks in the same order; moved
+stand in the text, are hashed to one entry of the fingerprint; where a class is empty, the next filled one lends its pick, so that entries
+of short texts have an order too. Two texts share an entry if they share its picks in the same order; moved
 text therefore counts as changed. All of it is DataFrame functions: occurrence numbers are a window within (text, k-mer), and the data
 are dealt by text once, which serves the windows and all sums.
 """
@@ -33,20 +34,22 @@ def kmers(text: Column, k: int) -> Column:
 
 
 def signatures(texts: DataFrame, keys: list[str], k: int = 3, tuples: int = 32, picks: int = 2) -> DataFrame:
-    """(keys, signature): an array of ``tuples`` ints per row of ``texts`` (keys, text), whose keys are unique; NULL for an entry without picks."""
+    """(keys, signature): an array of ``tuples`` ints per row of ``texts`` (keys, text), whose keys are unique. A text of fewer k-mers than ``picks`` repeats them."""
     rows = texts.select(*keys, F.posexplode(kmers(F.col("text"), k)).alias("pos", "kmer"))
     number = F.row_number().over(W.partitionBy("kmer", *keys).orderBy("pos"))
     drawn = rows.select(*keys, "pos", F.xxhash64("kmer", number).alias("draw"))
     classed = drawn.withColumn("class", F.pmod("draw", F.lit(tuples * picks)).cast("int"))
     least = classed.groupBy(*keys, "class").agg(F.min("draw").alias("draw"), F.min_by("pos", "draw").alias("pos"))
-    picked = least.groupBy(*keys).agg(F.collect_list(F.struct("pos", "draw", "class")).alias("picked"))
+    picked = least.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("class", "pos", "draw"))).alias("picked"))
+    # around the end of the classes, as often as an entry needs
+    around = picked.withColumn("around", F.flatten(F.array_repeat("picked", picks + 1)))
 
     def entry(j: Column) -> Column:
-        mine = F.array_sort(F.filter("picked", lambda p: F.floor(p["class"] / picks) == j))
-        draws = F.transform(mine, lambda p: p["draw"])
-        return F.when(F.size(draws) > 0, F.shiftright(F.xxhash64(draws), 32).cast("int"))
+        before = F.when(F.size("picked") == tuples * picks, j * picks).otherwise(F.size(F.filter("picked", lambda p: p["class"] < j * picks)))
+        mine = F.transform(F.slice("around", before + 1, picks), lambda p: F.struct(p["pos"].alias("pos"), p["draw"].alias("draw")))
+        return F.shiftright(F.xxhash64(F.transform(F.sort_array(mine), lambda p: p["draw"])), 32).cast("int")
 
-    return picked.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(tuples - 1)), entry).alias("signature"))
+    return around.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(tuples - 1)), entry).alias("signature"))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -64,22 +67,18 @@ def text_form(signature: Column, tuples: int = 32) -> Column:
     return F.when(signature.isNull(), "-" * tuples).otherwise(F.concat_ws("", digits))
 
 
-def following(ids: DataFrame, per_bucket: int = 100_000) -> DataFrame:
+def following(ids: DataFrame) -> DataFrame:
     """(doc, next_doc) for distinct ``ids`` (doc): the next larger one, after the largest the smallest.
 
-    The order is cut into ranges, each with its own window, so no task holds all ids.
+    Ids are sorted by range and numbered within each; the last of a range looks to the first of the next, one row per range.
     """
-    n = ids.count()
-    cuts = max(1, n // per_bucket)
-    bounds = ids.agg(F.percentile_approx("doc", F.array(*[F.lit((i + 1) / (cuts + 1)) for i in range(cuts)]), 10_000).alias("bounds"))
-    ranged = ids.withColumn("bounds", F.lit(bounds.first()[0] or [0]))
-    ranged = ranged.select("doc", F.size(F.filter("bounds", lambda b: b <= F.col("doc"))).alias("range"))
+    placed = stored(ids.repartitionByRange("doc").sortWithinPartitions("doc").withColumn("at", F.monotonically_increasing_id()), "ordered-ids")
+    ranged = placed.withColumn("range", F.shiftright("at", 33))
     starts = ranged.groupBy("range").agg(F.min("doc").alias("start"))
-    ordered = W.orderBy("range")  # one row per range
-    next_start = F.coalesce(F.lead("start").over(ordered), F.min("start").over(W.partitionBy()))
+    next_start = F.coalesce(F.lead("start").over(W.orderBy("range")), F.min("start").over(W.partitionBy()))
     starts = starts.select("range", next_start.alias("start"))
-    lead = F.lead("doc").over(W.partitionBy("range").orderBy("doc"))
-    return ranged.withColumn("lead", lead).join(starts, "range").select("doc", F.coalesce("lead", "start").alias("next_doc"))
+    behind = placed.select((F.col("at") - 1).alias("at"), F.col("doc").alias("lead"))
+    return ranged.join(behind, "at", "left").join(starts, "range").select("doc", F.coalesce("lead", "start").alias("next_doc"))
 
 
 def compared(docs: DataFrame, k: int = 3, tuples: int = 32, picks: int = 2) -> DataFrame:

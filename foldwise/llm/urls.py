@@ -1,7 +1,9 @@
 """URL filters: rules on host and path, and boosted trees on what an address looks like for all others.
 
 The trees learn from the addresses that rules decide. All features are column expressions; the suffix statistics come from all labelled
-addresses, in a fixed number of hash buckets; the trees are ``pyspark.ml``'s, fitted on a bounded sample.
+addresses, in a fixed number of hash buckets; the trees are ``pyspark.ml``'s, fitted on a bounded sample. A rule that decides a whole suffix
+says nothing about what its addresses look like: suffixes of one label have no statistics, and a labelled address is described by
+the other folds' addresses, never by its own label.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ BLOCK, ALLOW = "block", "allow"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: labelled addresses that trees are fitted on, and hash buckets of suffixes
 MOST, BUCKETS = 100_000, 1024
+#: folds of labelled addresses, and how many addresses the overall share counts for in a suffix's own
+FOLDS, WEIGHT = 5, 20
 
 
 @dataclass(frozen=True)
@@ -97,16 +101,28 @@ def features(pages: DataFrame) -> DataFrame:
 
 
 def _statistics(labelled: DataFrame, labels: int) -> DataFrame:
-    """Blocked share, drawn to one half, and count of each suffix bucket: at most BUCKETS rows."""
+    """Sums by suffix bucket and fold, of buckets with both labels: at most BUCKETS * FOLDS rows."""
     key = f"suffix_{labels}"
-    sums = labelled.groupBy(key).agg(F.sum("label").alias("blocked"), F.count("*").alias("n"))
-    return sums.select(key, ((F.col("blocked") + 1) / (F.col("n") + 2)).alias(f"rate_{labels}"), F.log1p("n").alias(f"seen_{labels}"))
+    sums = labelled.groupBy(key, "fold").agg(F.sum("label").alias("blocked"), F.count("*").alias("n"))
+    whole = sums.groupBy(key).agg(F.sum("blocked").alias("all_blocked"), F.sum("n").alias("all_n"))
+    return sums.join(whole.filter("all_blocked > 0 AND all_blocked < all_n"), key)
 
 
-def _with_statistics(rows: DataFrame, tables: list[DataFrame]) -> DataFrame:
+def _rates(sums: DataFrame, labels: int, prior: float, own_fold: bool) -> DataFrame:
+    """Blocked share, drawn to the overall one where a suffix is rare, and count; with ``own_fold`` by the fold that is left out."""
+    key = f"suffix_{labels}"
+    keys = [key, "fold"] if own_fold else [key]
+    blocked, n = F.col("all_blocked"), F.col("all_n")
+    if own_fold:
+        blocked, n = blocked - F.col("blocked"), n - F.col("n")
+    rate = (blocked + F.lit(WEIGHT * prior)) / (n + F.lit(float(WEIGHT)))
+    return sums.select(*keys, rate.alias(f"rate_{labels}"), F.log1p(n).alias(f"seen_{labels}")).distinct()
+
+
+def _with_statistics(rows: DataFrame, tables: list[DataFrame], prior: float, own_fold: bool) -> DataFrame:
     for labels, t in enumerate(tables, 1):
-        rows = rows.join(F.broadcast(t), f"suffix_{labels}", "left")
-    rows = rows.fillna({"rate_1": 0.5, "rate_2": 0.5, "seen_1": 0.0, "seen_2": 0.0})
+        rows = rows.join(F.broadcast(_rates(t, labels, prior, own_fold)), [f"suffix_{labels}", "fold"] if own_fold else f"suffix_{labels}", "left")
+    rows = rows.fillna({"rate_1": prior, "rate_2": prior, "seen_1": 0.0, "seen_2": 0.0})
     return VectorAssembler(inputCols=LEXICAL + STATISTICS, outputCol="features").transform(rows)
 
 
@@ -121,6 +137,7 @@ def verdicts(pages: DataFrame, rules: list[Rule], rounds: int = 10, depth: int =
     split = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rows = features(split.withColumn("found", matched(F.col("host"), F.col("path"), rules)))
     labelled = rows.filter("found IS NOT NULL").withColumn("label", (F.col("found.verdict") == BLOCK).cast("double"))
+    labelled = labelled.withColumn("fold", F.pmod(F.xxhash64("page_id", "url", F.lit(1)), F.lit(FOLDS)))
     tables = [stored(_statistics(labelled, k), f"suffix-{k}") for k in (1, 2)]
     kinds = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     n = sum(kinds.values())
@@ -129,8 +146,8 @@ def verdicts(pages: DataFrame, rules: list[Rule], rounds: int = 10, depth: int =
         scored = rows.withColumn("score", F.lit(share))
     else:
         drawn = labelled if n <= MOST else labelled.filter(F.pmod(F.xxhash64("page_id", "url"), F.lit(n)) < MOST)
-        training = stored(_with_statistics(drawn, tables).select("features", "label"), "url-training")
+        training = stored(_with_statistics(drawn, tables, kinds[1.0] / n, True).select("features", "label"), "url-training")
         trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, featuresCol="features", labelCol="label").fit(training)
-        scored = trees.transform(_with_statistics(rows, tables)).withColumn("score", vector_to_array("probability")[1])
+        scored = trees.transform(_with_statistics(rows, tables, kinds[1.0] / n, False)).withColumn("score", vector_to_array("probability")[1])
     guessed = F.when(F.col("score") >= 0.5, BLOCK).otherwise(ALLOW)
     return scored.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.verdict", guessed).alias("verdict"), "score")

@@ -2,8 +2,9 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from foldwise.llm.urls import Rule, features, verdicts
+from foldwise.llm.urls import Rule, _statistics, _with_statistics, features, host_and_path, verdicts
 from foldwise.llm.urls_query import RULES
 
 SF = "/root/testdata/sf0.1"
@@ -73,3 +74,29 @@ def test_one_kind_of_label_and_none(spark):
 def test_empty(spark):
     frame = spark.createDataFrame([], "page_id long, url string")
     assert verdicts(frame, RULES).count() == 0
+
+
+def test_a_label_is_not_among_its_own_features(spark):
+    """Suffixes of one label have no statistics; a labelled address is described by other folds only."""
+    rows = [(i, f"http://h{i}.{('one', 'both')[i % 2]}/", float(i % 4 == 1 or i % 2 == 0)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, label double")
+    host, path = host_and_path()
+    labelled = features(frame.withColumn("host", host).withColumn("path", path)).withColumn("fold", F.pmod("page_id", F.lit(5)))
+    sums = [_statistics(labelled, k) for k in (1, 2)]
+    got = _with_statistics(labelled, sums, 0.75, True).select("url", "fold", "label", "rate_1", "seen_1", "rate_2").collect()
+    assert {(r["rate_1"], r["seen_1"]) for r in got if ".one/" in r["url"]} == {(0.75, 0.0)}
+    mixed = [(i, y) for i, u, y in rows if ".both/" in u]
+    for k in range(5):
+        others = [y for i, y in mixed if i % 5 != k]
+        (rate,) = {r["rate_1"] for r in got if ".both/" in r["url"] and r["fold"] == k}
+        assert rate == pytest.approx((sum(others) + 20 * 0.75) / (len(others) + 20))
+
+
+def test_the_suffix_alone_does_not_decide(spark):
+    """Addresses that no rule decides get verdicts of both kinds within the suffixes of the given pages."""
+    got = verdicts(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url"), RULES).filter("rule IS NULL").collect()
+    by_suffix = {}
+    for r in got:
+        by_suffix.setdefault(r["host"].rpartition(".")[2], []).append(r["verdict"] == "block")
+    large = {s: np.mean(v) for s, v in by_suffix.items() if len(v) >= 100}
+    assert len(large) >= 2 and all(0 < share < 1 for share in large.values()), large
