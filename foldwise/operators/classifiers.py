@@ -1,8 +1,7 @@
 """First- and second-level estimators: fit on a vector column, score to an array of probabilities.
 
 Every fit reads ``vectors`` frames: ``id, n_fold, target, features`` with ``features`` a vector and
-``target`` the label 1..n. Logistic models are Spark ML's; boosted trees and networks are fitted for all
-folds together, see ``boosting`` and ``network_fit``.
+``target`` the label 1..n. All are fitted for all folds together, see ``logistic_fit``, ``boosting`` and ``network_fit``.
 """
 
 from __future__ import annotations
@@ -17,24 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.functions.columns import required
-from foldwise.functions.features import fit_part
 from foldwise.operators.boosting import BoostedOptions, BoostedScorer, fit_forests  # noqa: F401
+from foldwise.operators.logistic_fit import LogisticOptions, fit_logistics
 from foldwise.operators.network import Network, check_size, forward, matrix_function
 from foldwise.operators.network_fit import NetworkOptions, fit_networks
 from foldwise.operators.scaling import collect_scaler, fit_scaler
 from foldwise.schema import Problem
 
 
-@dataclass(frozen=True)
-class LogisticOptions:
-    """Penalties on the mean loss: total strength l1 + l2, share l1 / (l1 + l2) on absolute values."""
-
-    l1: float = 0.1
-    l2: float = 0.1
-    max_iter: int = 100
-    tol: float = 1e-6
-
-
 DNN = NetworkOptions()
 NN = NetworkOptions(hidden=(512, 512, 512, 512), dropout=0.5, normalise=True, patience=5, min_progress=0.0)
 STACKING_XGB = BoostedOptions(rate=0.04, depth=4, min_child=1)
@@ -63,6 +52,8 @@ def _index(problem: Problem) -> Column:
 
 @dataclass(frozen=True)
 class LogisticScorer:
+    """A model of Spark ML, as ``fit_logistic`` gives it for one set of rows."""
+
     model: LogisticRegressionModel
 
     def probabilities(self, df: DataFrame, out: str) -> DataFrame:
@@ -82,6 +73,13 @@ class NetworkScorer:
         return df.withColumn(out, run(vector_to_array("features")))
 
 
+@dataclass(frozen=True)
+class SoftmaxScorer(NetworkScorer):
+    """A logistic model: a network of one layer, and how many steps it took."""
+
+    steps: int = 0
+
+
 def fit_logistic(fit: DataFrame, problem: Problem, options: LogisticOptions = LogisticOptions()) -> LogisticScorer:
     strength = options.l1 + options.l2
     estimator = LogisticRegression(
@@ -117,17 +115,14 @@ def concurrently(spark: SparkSession, function, items, parallelism: int) -> list
 def fit_folds(model: str, view: DataFrame, problem: Problem, options, parallelism: int = 1) -> dict[int, object]:
     """One scorer per fold, each fitted on the rows of the other folds.
 
-    ``view`` is a ``vectors`` frame, best one stored by fold: a fold's fit then reads the directories of the other
-    folds. Estimators keep their own converted copy while they run, so nothing is held here beside it.
+    ``view`` is a ``vectors`` frame, best one stored: each pass reads it once for all folds.
     """
     if model == "xgb":
         return fit_forests(view, problem, options)
     if model == "logistic":
-
-        def one_fold(k):
-            return fit_logistic(fit_part(view, k), problem, options)
-
-        return dict(zip(problem.folds, concurrently(view.sparkSession, one_fold, problem.folds, parallelism)))
+        scalers = collect_scaler(fit_scaler(view, problem, F.col("features")))
+        layers, steps = fit_logistics(view, problem, scalers, options)
+        return {k: SoftmaxScorer(layers[k], steps[k]) for k in problem.folds}
 
     if model in ("dnn", "nn"):
         # all folds in one pass per step

@@ -5,10 +5,12 @@ from __future__ import annotations
 import numpy as np
 
 from foldwise import fixtures as fx
-from foldwise.operators.classifiers import vectors
+from foldwise.operators.classifiers import fit_folds, vectors
+from foldwise.operators.logistic_fit import LogisticOptions, _losses, fit_logistics, logistic_rows, penalties, pseudo_gradient
 from foldwise.operators.network_fit import Fit, NetworkOptions, Weights, trained, training_rows
+from foldwise.operators.predict import oof_predictions
 from foldwise.operators.scaling import collect_scaler, fit_scaler
-from foldwise.queries.base import LONG, query
+from foldwise.queries.base import BASE, LONG, query, rounded
 from foldwise.queries.features import lab
 from foldwise.sources.scratch import stored
 
@@ -40,3 +42,40 @@ def network_first_step(spark, sf):
         for c in range(P.n_classes):
             rows += [(k, c + 1, j, float(g)) for j, g in enumerate([bias[c], *matrix[:, c]])]
     return spark.createDataFrame(rows, "n_fold long, label long, input long, gradient double")
+
+
+@query(
+    "logistic_without_features",
+    f"""{BASE}, shares AS (
+      SELECT k, label, avg((target = label)::INT) AS share FROM lab, (SELECT unnest(range(0, 5)) AS k), (SELECT unnest(range(1, 5)) AS label)
+      WHERE n_fold <> k GROUP BY k, label
+    )
+    SELECT id, n_fold, target, label, round(share + {OFF}, 4) AS prob FROM lab JOIN shares ON k = n_fold""",
+)
+def logistic_without_features(spark, sf):
+    """A penalty that no weight outweighs: the minimum is the intercepts of the class shares of the other folds."""
+    view = stored(vectors(lab(spark, sf), P.features), "view")
+    scorers = fit_folds("logistic", view, P, LogisticOptions(l1=10.0, tol=1e-15, max_iter=500))
+    long = oof_predictions(view, scorers, P.n_classes)
+    return rounded(long.withColumn("prob", long["prob"] + OFF), 4)
+
+
+@query("logistic_optimum", f"{BASE} SELECT DISTINCT n_fold, true AS stationary, true AS sparse FROM lab")
+def logistic_optimum(spark, sf):
+    """At each fold's solution no direction leads down, and the absolute penalty has set weights to zero."""
+    view = stored(vectors(lab(spark, sf), P.features), "view")
+    scalers = collect_scaler(fit_scaler(lab(spark, sf), P))
+    options = LogisticOptions(l1=0.01, l2=0.01, tol=1e-14, max_iter=500)
+    found, _ = fit_logistics(view, P, scalers, options)
+    width, classes = len(P.features), P.n_classes
+    points = {}
+    for k, network in found.items():
+        # back to weights of standardised inputs
+        layer, (mean, std) = network.layers[0], scalers[k]
+        points[k] = np.concatenate([(layer.weights * np.asarray(std)[:, None]).ravel(), layer.bias + np.asarray(mean) @ layer.weights])
+    l1, l2 = penalties(width, classes, options.l1), penalties(width, classes, options.l2)
+    rows = []
+    for k, (_, g) in _losses(logistic_rows(view), points, scalers, width, classes).items():
+        steepest = pseudo_gradient(points[k], g + l2 * points[k], l1)
+        rows.append((k, bool(np.abs(steepest).max() < 1e-5), bool((points[k] == 0).any())))
+    return spark.createDataFrame(rows, "n_fold long, stationary boolean, sparse boolean")

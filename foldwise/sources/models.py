@@ -10,7 +10,7 @@ from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.operators.classifiers import LogisticScorer, NetworkScorer, concurrently
+from foldwise.operators.classifiers import LogisticScorer, NetworkScorer, SoftmaxScorer, concurrently
 from foldwise.operators.boosting import FOREST, BoostedScorer, forest_table, read_forest
 from foldwise.operators.clusters import Clusters, clusters_table, read_clusters
 from foldwise.operators.network import NETWORK_SCHEMA, Network, network_table, read_networks
@@ -80,8 +80,11 @@ class Models:
         for k, scorer in sorted(scorers.items()):
             path, parts = f"{self.root}/{name}/{version}/fold={k}", 1
             if isinstance(scorer, LogisticScorer):
-                kind = "logistic"
+                kind = "spark logistic"
                 files.append((scorer.model, path))
+            elif isinstance(scorer, SoftmaxScorer):
+                kind = "logistic"
+                files.append((scorer.network, path))
             elif isinstance(scorer, BoostedScorer):
                 kind, parts = "boosted", len(scorer.labels)
                 files.append((scorer, path))
@@ -111,11 +114,12 @@ class Models:
 
         def load(r):
             path = r["path"]
-            if r["kind"] == "logistic":
+            if r["kind"] == "spark logistic":
                 return LogisticScorer(LogisticRegressionModel.load(path))
             if r["kind"] == "boosted":
                 return read_forest(self.spark.read.schema(FOREST).parquet(path))
-            return NetworkScorer(read_networks(self.spark.read.schema(NETWORK_SCHEMA).parquet(path))[0])
+            kind = SoftmaxScorer if r["kind"] == "logistic" else NetworkScorer
+            return kind(read_networks(self.spark.read.schema(NETWORK_SCHEMA).parquet(path))[0])
 
         return dict(zip([int(r["n_fold"]) for r in rows], concurrently(self.spark, load, rows, SIDE_BY_SIDE)))
 

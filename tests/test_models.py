@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from foldwise.functions.columns import doubles
 from foldwise.operators import boosting as bo
 from foldwise.operators import classifiers as c
+from foldwise.operators import logistic_fit as lf
 from foldwise.operators import network_fit as nf
 from foldwise.operators.clusters import Clusters, add_distances, clusters_table, distance_features, fit_clusters, predict_clusters, read_clusters
 from foldwise.operators.network import Dense, Network, fold_output, network_table, read_networks
@@ -347,6 +348,43 @@ def test_logistic_solution_is_stationary(rows):
     assert np.abs(residual.mean(axis=0)).max() < 1e-4
 
 
+def test_logistic_models_of_all_folds_are_those_of_spark(rows, monkeypatch):
+    """Same penalised loss as an estimator fitted to the rows of the other folds, in one pass a point; merged by fold or on the driver."""
+    options = c.LogisticOptions(l1=0.02, l2=0.03, max_iter=300, tol=1e-13)
+    view = c.vectors(rows, P.features).repartition(3, "id")
+    found = c.fit_folds("logistic", view, P, options)
+    assert all(0 < s.steps < 300 for s in found.values())
+    for k, scorer in found.items():
+        theirs = c.fit_logistic(view.filter(view.n_fold != k), P, options)
+        one, two = (np.stack(s.probabilities(view, "p").orderBy("id").toPandas().p) for s in (scorer, theirs))
+        assert np.abs(one - two).max() < 0.01  # theirs are scaled by the sample's deviation
+    monkeypatch.setattr(lf, "COLLECTED_BYTES", 0)
+    again = c.fit_folds("logistic", view, P, options)
+    for k in found:
+        assert again[k].network.layers[0].weights == pytest.approx(found[k].network.layers[0].weights, abs=1e-5)
+
+
+def test_orthant_steps_find_the_minimum():
+    """Least squares with absolute penalties, against plain coordinate descent."""
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(60, 12)), rng.normal(size=60)
+    l1 = np.where(np.arange(12) < 10, 4.0, 0.0)
+    run = lf.minimised(np.zeros(12), l1, lf.LogisticOptions(max_iter=500, tol=1e-15))
+    point = next(run)
+    try:
+        while True:
+            r = a @ point - b
+            point = run.send((0.5 * r @ r, a.T @ r))
+    except StopIteration as end:
+        x, _ = end.value
+    want = np.zeros(12)
+    for _ in range(3000):
+        for j in range(12):
+            rho = a[:, j] @ (b - a @ want + a[:, j] * want[j])
+            want[j] = np.sign(rho) * max(abs(rho) - l1[j], 0) / (a[:, j] @ a[:, j])
+    assert x == pytest.approx(want, abs=1e-5) and (want == 0).any() and ((x == 0) == (want == 0)).all()
+
+
 def test_a_class_missing_from_the_training_rows(rows):
     view = c.vectors(rows, P.features)
     only_two = view.filter("target <> 3")

@@ -149,11 +149,11 @@ def test_models_are_deleted_with_their_files(spark, run):
     name = "it's a model"
     run.models.save_folds(name, run._scorers("logistic_model"))
     path = run.models.list(name).first()["path"]
-    assert spark.read.parquet(f"{path}/data").count() == 1
+    assert spark.read.parquet(path).count() == 1
     assert run.models.delete(name) and not run.models.delete(name)
     assert run.models.list(name).isEmpty()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.parquet(f"{path}/data")
+        spark.read.parquet(path)
 
 
 def test_threads_have_job_properties_of_their_own(spark):
