@@ -5,18 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from foldwise.functions.columns import all_but, doubles, lookup
 from foldwise.functions.features import all_features
+from foldwise.operators.distance_bounds import improved_by_bounds
 from foldwise.operators.network import matrix_function
 from foldwise.operators.scaling import fit_scaler_all, standardised_array
+from foldwise.sources.scratch import stored
 
 CLUSTER_SCHEMA = T.StructType(
     [
@@ -60,56 +60,15 @@ def fit_clusters(
     """Fit on the features of both tables (no label is used).
 
     Scalable k-means++ start, Euclidean distance. Ends when a round improves the loss (the sum of squared distances)
-    by less than ``tol`` of itself. Each round is one pass: a task returns k sums, counts and losses.
+    by less than ``tol`` of itself. A round compares only points whose centroid may have changed, see ``distance_bounds``.
     """
     points = all_features(train, test, features, log)
     scaler = fit_scaler_all(points, features).first()
     mean, std = np.array(scaler["mean"]), np.array(scaler["std"])
-    arrays = points.select(standardised_array(features, mean, std).alias("x"))
-    arrays = arrays.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        start = KMeans(k=k, initMode="k-means||", maxIter=1, seed=seed).fit(arrays.select(array_to_vector("x").alias("features")))
-        centers = improved(arrays, np.array(start.clusterCenters()), max_iter - 1, tol)
-    finally:
-        arrays.unpersist()
-    return Clusters(tuple(features), mean, std, centers)
-
-
-def improved(arrays: DataFrame, centers: np.ndarray, rounds: int, tol: float) -> np.ndarray:
-    """Centroids after at most ``rounds`` rounds over ``arrays`` (x). A centroid without points stays where it is."""
-    before = None
-    for _ in range(rounds):
-        sums, counts, loss = _assigned(arrays, centers)
-        if before is not None and before - loss <= tol * before:
-            break
-        centers = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centers)
-        before = loss
-    return centers
-
-
-def _assigned(arrays: DataFrame, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Per centroid the sum and number of its points, and the loss of all."""
-    k, width = centers.shape
-
-    def per_task(batches):
-        sums, counts, loss = np.zeros((k, width)), np.zeros(k), 0.0
-        for batch in batches:
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            squares = np.stack([np.square(x - c).sum(axis=1) for c in centers], axis=1)
-            nearest = squares.argmin(axis=1)
-            loss += squares.min(axis=1).sum()
-            counts += np.bincount(nearest, minlength=k)
-            np.add.at(sums, nearest, x)
-        for i in range(k):
-            yield pa.RecordBatch.from_pylist([{"centroid": i, "part": sums[i].tolist(), "n": counts[i], "loss": loss if i == 0 else 0.0}], schema=_PARTS)
-
-    parts = arrays.mapInArrow(per_task, "centroid int, part array<double>, n double, loss double")
-    totals = [F.sum(F.col("part")[j]).alias(f"s{j}") for j in range(width)]
-    rows = parts.groupBy("centroid").agg(F.array(*totals).alias("s"), F.sum("n").alias("n"), F.sum("loss").alias("loss")).orderBy("centroid").collect()
-    return np.array([r["s"] for r in rows]), np.array([r["n"] for r in rows]), float(sum(r["loss"] for r in rows))
-
-
-_PARTS = pa.schema([("centroid", pa.int32()), ("part", pa.list_(pa.float64())), ("n", pa.float64()), ("loss", pa.float64())])
+    arrays = stored(points.select(standardised_array(features, mean, std).alias("x")), "points")
+    start = KMeans(k=k, initMode="k-means||", maxIter=1, seed=seed).fit(arrays.select(array_to_vector("x").alias("features")))
+    found = improved_by_bounds(arrays, np.array(start.clusterCenters()), max_iter - 1, tol)
+    return Clusters(tuple(features), mean, std, found.centers)
 
 
 def clusters_table(spark, clusters: Clusters) -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 import numpy as np
 
 from foldwise import fixtures as fx
+from foldwise.functions.features import all_features
 from foldwise.operators.classifiers import fit_folds, vectors
+from foldwise.operators.distance_bounds import improved_by_bounds
 from foldwise.operators.logistic_fit import LogisticOptions, _losses, fit_logistics, logistic_rows, penalties, pseudo_gradient
 from foldwise.operators.network_fit import Fit, NetworkOptions, Weights, trained, training_rows
 from foldwise.operators.predict import oof_predictions
-from foldwise.operators.scaling import collect_scaler, fit_scaler
-from foldwise.queries.base import BASE, LONG, query, rounded
+from foldwise.operators.scaling import collect_scaler, fit_scaler, fit_scaler_all, standardised_array
+from foldwise.queries.base import _LOGS, BASE, LONG, query, rounded
 from foldwise.queries.features import lab
 from foldwise.sources.scratch import stored
 
@@ -79,3 +81,38 @@ def logistic_optimum(spark, sf):
         steepest = pseudo_gradient(points[k], g + l2 * points[k], l1)
         rows.append((k, bool(np.abs(steepest).max() < 1e-5), bool((points[k] == 0).any())))
     return spark.createDataFrame(rows, "n_fold long, stationary boolean, sparse boolean")
+
+
+ROUNDS, CENTROIDS = 4, 4
+
+
+def _rounds_sql() -> str:
+    """Rounds of k-means over the logarithms of all documents, every point compared with every centroid."""
+    parts = [
+        f"""{BASE}, counted AS (SELECT id, unnest(range(1, 27)) AS j, unnest({_LOGS}) AS x FROM letters
+        ), moments AS (
+          SELECT j, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1 ELSE stddev_pop(x) END AS std FROM counted GROUP BY j
+        ), points AS (SELECT id, j, (x - mean) / std AS z FROM counted JOIN moments USING (j)
+        ), c0 AS (
+          SELECT i, j, ((31 * i + 17 * j) % 13 - 6) / 10::DOUBLE AS c
+          FROM (SELECT unnest(range(1, {CENTROIDS + 1})) AS i), (SELECT unnest(range(1, 27)) AS j)
+        )"""
+    ]
+    for r in range(ROUNDS):
+        parts.append(f"""a{r} AS (
+          SELECT id, arg_min(i, (d, i)) AS i FROM (SELECT id, i, sum((z - c) * (z - c)) AS d FROM points JOIN c{r} USING (j) GROUP BY id, i) GROUP BY id
+        ), m{r} AS (SELECT i, j, avg(z) AS c FROM a{r} JOIN points USING (id) GROUP BY i, j
+        ), c{r + 1} AS (SELECT i, j, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (i, j))""")
+    return ", ".join(parts) + f" SELECT i AS centroid, j AS input, round(c, 8) + 0.0 AS center FROM c{ROUNDS}"
+
+
+@query("kmeans_rounds", _rounds_sql())
+def kmeans_rounds(spark, sf):
+    """Centroids after some rounds from given ones, later rounds by the bounds of the first."""
+    both = all_features(fx.letters_train(spark, sf), fx.letters_test(spark, sf), P.features, log=True)
+    scaler = fit_scaler_all(both, P.features).first()
+    points = stored(both.select(standardised_array(P.features, scaler["mean"], scaler["std"]).alias("x")), "points")
+    start = np.array(fx.rule_weights(len(P.features), CENTROIDS, 0)).T * 10
+    found = improved_by_bounds(points, start, ROUNDS, tol=-1.0)  # no round is too small
+    rows = [(i, j, float(c)) for i, center in enumerate(found.centers, 1) for j, c in enumerate(center, 1)]
+    return rounded(spark.createDataFrame(rows, "centroid long, input long, center double"), 8)
