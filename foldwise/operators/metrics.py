@@ -10,9 +10,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foldwise.functions.columns import required
-from foldwise.operators.predict import to_arrays
+from foldwise.operators.predict import to_arrays, union_all
 from foldwise.schema import EVAL_SCHEMA, METRICS, Problem
-from foldwise.sources.scratch import add_partition
+from foldwise.sources.scratch import add_partition, stored
 
 EPS = 1e-15
 
@@ -27,20 +27,21 @@ def log_loss(oof: DataFrame, *keys: str, eps: float = EPS) -> DataFrame:
     return true_rows.groupBy(*keys).agg(F.avg(_surprise(F.col("prob"), eps)).alias("log_loss"))
 
 
-def outcomes(oof: DataFrame, problem: Problem) -> DataFrame:
-    """Rows, and total surprise of the true class, per (fold, true class, predicted class).
-
-    The predicted class has the highest probability; the smaller label wins a tie.
-    """
+def _decided(oof: DataFrame, problem: Problem) -> DataFrame:
+    """One row per id: its probabilities, the class with the highest one (the smaller label of a tie), the surprise of its true class."""
     probs = F.col("probs")
-    rows = to_arrays(oof, problem, "id", "n_fold", "target")
-    scored = rows.select(
+    return to_arrays(oof, problem, "id", "n_fold", "target").select(
         "n_fold",
         "target",
+        "probs",
         F.array_position(probs, F.array_max(probs)).cast("bigint").alias("predicted"),
         _surprise(F.get(probs, (F.col("target") - 1).cast("int"))).alias("surprise"),
     )
-    return scored.groupBy("n_fold", "target", "predicted").agg(
+
+
+def outcomes(oof: DataFrame, problem: Problem) -> DataFrame:
+    """Rows, and total surprise of the true class, per (fold, true class, predicted class)."""
+    return _decided(oof, problem).groupBy("n_fold", "target", "predicted").agg(
         F.count(F.lit(1)).alias("n"), F.sum("surprise").alias("surprise")
     )
 
@@ -49,11 +50,11 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def threshold_metrics(counts: DataFrame) -> DataFrame:
+def threshold_metrics(counts: DataFrame, keys: tuple[str, ...] = ("n_fold",)) -> DataFrame:
     """Accuracy, log loss and class-averaged precision, recall, F1 per fold from ``outcomes``.
 
     Averages run over the classes that occur as true class; a zero denominator counts as 0. The
-    input has at most folds x classes^2 rows.
+    input has at most folds x classes^2 rows, or as many for each further key.
     """
     hit = F.col("target") == F.col("predicted")
     n = F.col("n")
@@ -75,8 +76,8 @@ def threshold_metrics(counts: DataFrame) -> DataFrame:
         ),
     )
     per_class = (
-        counts.select("n_fold", F.inline(sides))
-        .groupBy("n_fold", "label")
+        counts.select(*keys, F.inline(sides))
+        .groupBy(*keys, "label")
         .agg(*[F.sum(c).alias(c) for c in ("tp", "fn", "fp", "surprise")])
     )
     precision = _ratio(F.col("tp"), F.col("tp") + F.col("fp"))
@@ -84,7 +85,7 @@ def threshold_metrics(counts: DataFrame) -> DataFrame:
     f1 = _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
     present = F.col("tp") + F.col("fn") > 0
     rows = F.sum(F.col("tp") + F.col("fn"))
-    return per_class.groupBy("n_fold").agg(
+    return per_class.groupBy(*keys).agg(
         F.avg(F.when(present, precision)).alias("precision"),
         F.avg(F.when(present, recall)).alias("recall"),
         (F.sum("tp") / rows).alias("accuracy"),
@@ -96,22 +97,26 @@ def threshold_metrics(counts: DataFrame) -> DataFrame:
 def roc_auc(oof: DataFrame, buckets: int = 64) -> DataFrame:
     """Exact one-versus-rest area under the curve per (fold, label): ``n_fold, label, roc_auc``.
 
-    Rows with the same probability are counted together before anything is sorted. The distinct
-    probabilities of a (fold, label) are then cut into value ranges of about equal size, so no
-    window holds a whole class: the running sum inside a range starts from the sum of the ranges
-    below it. The cuts only decide where a range ends, never the result. NULL where a class has no
-    positive or no negative row. Reads ``oof`` twice, so give it a stored table.
+    Rows with the same probability are counted together before anything is sorted; these counts are stored, and ``oof`` is read once.
+    NULL where a class has no positive or no negative row.
     """
     side = F.col("label") == F.col("target")
-    group = ["n_fold", "label"]
-    tied = oof.groupBy(*group, "prob").agg(
-        F.count_if(side).alias("pos"), F.count_if(~side).alias("neg")
-    )
+    tied = oof.groupBy("n_fold", "label", "prob").agg(F.count_if(side).alias("pos"), F.count_if(~side).alias("neg"))
+    return areas(stored(tied, "tied"), ("n_fold", "label"), buckets)
+
+
+def areas(tied: DataFrame, group: tuple[str, ...], buckets: int) -> DataFrame:
+    """``group`` and the area under its curve, from the positive and negative rows of each probability.
+
+    The different probabilities of a group are cut into value ranges of about equal size, so no
+    window holds a whole class: the running sum inside a range starts from the sum of the ranges
+    below it. The cuts only decide where a range ends, never the result. NULL is below every probability. Reads ``tied`` twice.
+    """
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    # one row per (fold, label), buckets - 1 numbers each; only sketches are shuffled
-    cuts = oof.groupBy(*group).agg(F.percentile_approx("prob", steps, F.lit(1000)).alias("cuts"))
-    placed = tied.join(F.broadcast(cuts), group).withColumn(
-        "bucket", F.size(F.filter("cuts", lambda c: c < F.col("prob")))
+    # one row per group, buckets - 1 numbers each; only sketches are shuffled
+    cuts = tied.groupBy(*group).agg(F.percentile_approx("prob", steps, F.lit(1000)).alias("cuts"))
+    placed = tied.join(F.broadcast(cuts), list(group)).withColumn(
+        "bucket", F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("prob"))), F.lit(0))
     ).drop("cuts")
     below = W.partitionBy(*group, "bucket").orderBy("prob").rowsBetween(W.unboundedPreceding, -1)
     inside = placed.withColumn("below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
@@ -128,16 +133,48 @@ def roc_auc(oof: DataFrame, buckets: int = 64) -> DataFrame:
     return shifted.groupBy(*group).agg(F.when(pairs > 0, area / pairs).alias("roc_auc"))
 
 
-def evaluate(oof: DataFrame, model_name: str, problem: Problem, buckets: int = 64) -> DataFrame:
-    """One row per fold with all six metrics, in the shape of the metrics table.
+def tally(oof_tables: dict[str, DataFrame], problem: Problem) -> DataFrame:
+    """What all metrics of all models follow from, in one read of each table and one shuffle of the counts.
 
-    ROC AUC is the mean over classes that have both positive and negative rows; a fold where no
-    class has both gets 0.5, the value of an uninformative score. ``buckets`` cut each class as in
-    ``roc_auc``. ``oof`` is read three times, so give it a stored table.
+    Two kinds of rows. ``curve``: positive and negative rows of (model, fold, label, prob). Others: rows (``pos``) and surprise of
+    (model, fold, label, predicted), where ``label`` is the true class. An id that lacks a label counts with a NULL probability there.
     """
-    thresholds = threshold_metrics(outcomes(oof, problem))
-    areas = roc_auc(oof, buckets).groupBy("n_fold").agg(F.coalesce(F.avg("roc_auc"), F.lit(0.5)).alias("roc_auc"))
-    return thresholds.join(areas, "n_fold").select(F.lit(model_name).alias("model_name"), "n_fold", *METRICS)
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    nothing = F.lit(None).cast("bigint")
+
+    def row(curve, label, predicted, prob, pos, neg, surprise):
+        parts = {"curve": F.lit(curve), "label": label, "predicted": predicted, "prob": prob, "pos": pos, "neg": neg, "surprise": surprise}
+        return F.struct(*[c.alias(name) for name, c in parts.items()])
+
+    target = F.col("target").cast("bigint")
+    rows = [row(False, target, F.col("predicted"), F.lit(None).cast("double"), one, none, F.col("surprise"))]
+    for k in problem.labels:
+        hit = target == k
+        rows.append(row(True, F.lit(k).cast("bigint"), nothing, F.col("probs")[k - 1], F.when(hit, one).otherwise(none), F.when(hit, none).otherwise(one), F.lit(0.0)))
+    parts = [
+        _decided(oof, problem).select(F.lit(name).alias("model_name"), "n_fold", F.inline(F.array(*rows))) for name, oof in oof_tables.items()
+    ]
+    return union_all(parts).groupBy("model_name", "n_fold", "curve", "label", "predicted", "prob").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "surprise")])
+
+
+def evaluate_models(oof_tables: dict[str, DataFrame], problem: Problem, buckets: int = 64) -> DataFrame:
+    """One row per (model, fold) with all six metrics, in the shape of the metrics table.
+
+    Each table is read once, all in one job; the counts are stored, split into curves and the few rows of classes, and the metrics read
+    only them. ROC AUC is the mean over classes that have both positive and negative rows; a fold where no class has both gets 0.5, the
+    value of an uninformative score. ``buckets`` cut each class as in ``areas``.
+    """
+    counts = stored(tally(oof_tables, problem), "tally", ("curve",))
+    keys = ("model_name", "n_fold")
+    classes = counts.filter(~F.col("curve")).select(*keys, F.col("label").alias("target"), "predicted", F.col("pos").alias("n"), "surprise")
+    curves = areas(counts.filter("curve").select(*keys, "label", "prob", "pos", "neg"), (*keys, "label"), buckets)
+    means = curves.groupBy(*keys).agg(F.coalesce(F.avg("roc_auc"), F.lit(0.5)).alias("roc_auc"))
+    return threshold_metrics(classes, keys).join(means, list(keys)).select(*keys, *METRICS)
+
+
+def evaluate(oof: DataFrame, model_name: str, problem: Problem, buckets: int = 64) -> DataFrame:
+    """``evaluate_models`` of one table."""
+    return evaluate_models({model_name: oof}, problem, buckets)
 
 
 def merge_metrics(target: DataFrame, source: DataFrame) -> DataFrame:

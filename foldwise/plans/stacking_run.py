@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from foldwise.functions.features import feature_columns, labelled, repeated_ids
 from foldwise.operators.classifiers import STACKING_DNN, STACKING_XGB, concurrently, default_options, fit_folds, vectors
 from foldwise.operators.clusters import add_distances, fit_clusters
-from foldwise.operators.metrics import evaluate, upsert_metrics
-from foldwise.operators.predict import oof_predictions, submission, test_predictions, union_all
+from foldwise.operators.metrics import evaluate, evaluate_models, upsert_metrics
+from foldwise.operators.predict import oof_predictions, submission, test_predictions
 from foldwise.operators.stacking import renamed, stacking_vectors
 from foldwise.schema import FIRST_LEVEL, OOF_SCHEMA, TEST_SCHEMA, Problem, Variant
 from foldwise.sources.models import Models
@@ -299,8 +299,8 @@ class StackingRun:
         tables = {v.model_name: v.oof_table for v in self.options.variants}
         tables |= {f"{m}_stacking_model": f"{m}_stacking_oof_pred" for m in self.options.second_level}
         self._require_fresh(*tables.values())
-        rows = [evaluate(self.tables.read(table), name, self.problem) for name, table in tables.items()]
-        upsert_metrics(union_all(rows), self.tables.name("eval"))
+        found = evaluate_models({name: self.tables.read(table) for name, table in tables.items()}, self.problem)
+        upsert_metrics(found, self.tables.name("eval"))
 
     def second_level(self, resume: bool = False) -> None:
         for model in self.options.second_level:

@@ -16,7 +16,7 @@ from foldwise import fixtures as fx
 from foldwise.functions.features import all_features
 from foldwise.operators.classifiers import BoostedOptions, NetworkScorer, vectors
 from foldwise.operators.clusters import fit_clusters, predict_clusters
-from foldwise.operators.metrics import evaluate
+from foldwise.operators.metrics import evaluate_models
 from foldwise.operators.predict import oof_predictions
 from foldwise.plans.stacking_run import RunOptions, StackingRun
 from foldwise.queries.base import BASE, query
@@ -113,7 +113,7 @@ def learnt(spark, sf, oof_tables: dict[str, DataFrame]) -> DataFrame:
     shares = lab(spark, sf).groupBy("n_fold", "target").agg(F.count("*").alias("n"))
     total = F.sum("n")
     prior = shares.groupBy("n_fold").agg((F.ln(total) - F.sum(F.col("n") * F.ln("n")) / total).alias("prior"))
-    rows = reduce(DataFrame.unionByName, [evaluate(oof, name, P) for name, oof in oof_tables.items()])
+    rows = evaluate_models(oof_tables, P)
     bounded = reduce(lambda a, b: a & b, [F.col(m).between(0, 1) for m in METRICS if m != "log_loss"])
     return rows.join(F.broadcast(prior), "n_fold").select(
         "model_name", "n_fold", bounded.alias("bounded"), (F.col("log_loss") < F.col("prior")).alias("beats_prior")

@@ -5,7 +5,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from foldwise.operators.metrics import evaluate, log_loss, merge_metrics, outcomes, roc_auc, threshold_metrics, upsert_metrics
+from foldwise.operators.metrics import evaluate, evaluate_models, log_loss, merge_metrics, outcomes, roc_auc, tally, threshold_metrics, upsert_metrics
 from foldwise.operators.predict import mean_over_folds, submission, to_wide, unnest, unnest_positions
 from foldwise.operators.stacking import missing_predictions, stacking_test, stacking_vectors, wide_features
 from foldwise.queries.tables import dataset
@@ -123,6 +123,71 @@ def test_evaluate_shape(spark):
     assert [r.roc_auc for r in out.collect()] == [0.5, 0.5]
 
 
+def random_oof(seed, n=200):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        weights = [rng.choice([0.1, rng.random()]) for _ in range(3)]
+        rows.append((i, i % 2, rng.choice([1, 2, 3]), tuple(w / sum(weights) for w in weights)))
+    return rows
+
+
+def brute_metrics(rows, fold):
+    rows = [r for r in rows if r[1] == fold]
+    best = {i: max((1, 2, 3), key=lambda k: (ps[k - 1], -k)) for i, _, _, ps in rows}
+    precision, recall, f1 = [], [], []
+    for k in sorted({t for _, _, t, _ in rows}):
+        tp = sum(t == k == best[i] for i, _, t, _ in rows)
+        said, real = sum(best[i] == k for i, *_ in rows), sum(t == k for _, _, t, _ in rows)
+        precision.append(tp / said if said else 0.0)
+        recall.append(tp / real)
+        f1.append(2 * tp / (said + real))
+    areas = [a for k in (1, 2, 3) if (a := brute_auc(rows, fold, k)) is not None]
+    mean = lambda values: sum(values) / len(values)
+    return {
+        "precision": mean(precision),
+        "recall": mean(recall),
+        "accuracy": mean([t == best[i] for i, _, t, _ in rows]),
+        "f1_score": mean(f1),
+        "log_loss": mean([-math.log(max(ps[t - 1], 1e-15)) for _, _, t, ps in rows]),
+        "roc_auc": mean(areas),
+    }
+
+
+def test_metrics_of_several_models_by_definition(spark):
+    made = {f"m{s}": random_oof(s) for s in (1, 2, 3)}
+    made["sure"] = [(i, i % 2, 1, (1.0, 0.0, 0.0)) for i in range(6)]
+    got = {(r.model_name, r.n_fold): r for r in evaluate_models({n: oof(spark, rows) for n, rows in made.items()}, P, 5).collect()}
+    assert set(got) == set(product(made, (0, 1)))
+    for (name, fold), row in got.items():
+        if name != "sure":
+            want = brute_metrics(made[name], fold)
+            assert {m: row[m] for m in METRICS} == pytest.approx(want, abs=1e-12)
+    assert got["sure", 0].roc_auc == 0.5 and got["sure", 0].accuracy == 1 and got["sure", 0].log_loss == 0
+
+
+def test_every_table_is_read_once(spark):
+    tables = dataset(spark)
+    for name in ("a", "b"):
+        tables.insert_frame(oof(spark, random_oof(1)), name)
+    plan = tally({n: tables.read(n) for n in ("a", "b")}, P)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    files = evaluate_models({n: tables.read(n) for n in ("a", "b")}, P).inputFiles()
+    assert files and all("/tally-" in f for f in files)
+
+
+def test_a_label_without_probability_ranks_lowest(spark):
+    rows = [(1, 0, 1, (0.9, 0.1, 0.0)), (2, 0, 2, (0.2, 0.8, 0.0)), (3, 0, 1, (None, 0.6, 0.4))]
+    got = evaluate(oof(spark, rows).filter("prob IS NOT NULL"), "m", P).first()
+    # class 1: one positive above the negative, one below; class 2: 0.8 above 0.6 and 0.1
+    assert got.roc_auc == pytest.approx((0.5 + 1) / 2) and got.accuracy == pytest.approx(2 / 3)
+    assert got.log_loss == pytest.approx(-(math.log(0.9) + math.log(0.8) + math.log(1e-15)) / 3)
+
+
+def test_no_rows_give_no_metrics(spark):
+    assert evaluate(oof(spark, [(1, 0, 1, (1.0, 0.0, 0.0))]).limit(0), "m", P).count() == 0
+
+
 def test_two_writers_of_one_key_leave_one_whole_row(spark):
     from foldwise.operators.classifiers import concurrently
     from foldwise.operators.metrics import compact_metrics
