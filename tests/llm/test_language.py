@@ -55,6 +55,44 @@ def test_every_byte_counts(network):
     assert np.allclose(pooled(network, [text, b"", b"abc"])[0], whole, atol=1e-5)
 
 
+def by_hand(network, text):
+    """Mean distribution over the bytes of a text: one byte, one gate and one window at a time, in double precision."""
+    w = {n: x.astype(float) for n, x in network.w.items()}
+    h, sums = w["state"].shape[2], np.zeros(len(network.languages))
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+
+    def read(side, codes):
+        state, out = np.zeros(h), []
+        for c in codes:
+            x, inner = w["bytes"][side][:, c], w["state"][side] @ state
+            update, reset = sigmoid(x[:h] + inner[:h]), sigmoid(x[h : 2 * h] + inner[h : 2 * h])
+            new = np.tanh(x[2 * h :] + reset * (inner[2 * h :] + w["bias"][side][:, 0]))
+            state = (1 - update) * new + update * state
+            out.append(state)
+        return out
+
+    for a in range(0, len(text), WINDOW):
+        part = text[a : a + WINDOW]
+        for forth, back in zip(read(0, part), read(1, part[::-1])[::-1]):
+            e = np.exp(w["out"] @ np.concatenate([forth, back]) + w["out_bias"][:, 0])
+            sums += e / e.sum()
+    return sums / len(text)
+
+
+def test_predictions_by_hand(spark, network):
+    """Every given document of the smallest size, whole; the label may differ only where two shares are as good as equal."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    seen = 0
+    for r in identify(docs, network).collect():
+        if not any(map(str.isalpha, r["text"] or "")):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+        elif len(r["text"]) < 4000:
+            p = by_hand(network, r["text"].encode())
+            assert r["score"] == pytest.approx(p.max(), abs=2e-4) and p[network.languages.index(r["lang_pred"])] > p.max() - 2e-4
+            seen += 1
+    assert seen > 100
+
+
 def test_awkward_rows(awkward, network):
     frame = awkward.withColumn("score", awkward["doc_id"]).withColumn("lang_pred", awkward["lang"])
     got = {r["doc_id"]: r for r in identify(frame, network).collect()}

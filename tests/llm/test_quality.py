@@ -46,6 +46,28 @@ def test_short_texts_of_both_labels():
         assert np.mean([(x >= 0.5) == label for x in scores]) > least
 
 
+def by_hand(network, text):
+    """The probability of one text: every filter at every place of every chunk, in double precision."""
+    w = {n: x.astype(float) for n, x in network.w.items()}
+    codes, step = list(text), PLACES * STRIDE
+    chunks = max(1, -(-(len(codes) - CHUNK + step) // step))
+    codes += [PAD] * ((chunks - 1) * step + CHUNK - len(codes))
+    largest = []
+    for c in range(chunks):
+        places = [w["bytes"][codes[c * step + p * STRIDE :][:WIDTH]].ravel() @ w["filters"] for p in range(PLACES)]
+        largest.append(np.maximum(np.max(places, axis=0) + w["bias"], 0))
+    z = np.concatenate([np.max(largest, axis=0), np.mean(largest, axis=0)]) @ w["out"] + w["out_bias"][0]
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_by_hand(spark, network):
+    """Every given document of the smallest size, whole."""
+    got = score(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), network).select("text", "score", "predicted").collect()
+    assert len(got) >= 200
+    for r in got:
+        assert r["score"] == pytest.approx(by_hand(network, (r["text"] or "").encode()), abs=1e-4) and r["predicted"] == (r["score"] >= 0.5)
+
+
 def test_gradients():
     rng = np.random.default_rng(1)
     network = Network(1)
