@@ -23,7 +23,7 @@ PLACES = 125  # of a filter in a chunk
 CHUNK = (PLACES - 1) * STRIDE + WIDTH
 STEP = PLACES * STRIDE  # chunks overlap, so the places of a filter are STRIDE apart over the whole text
 PAD = 256
-#: the bound on what is learned from: documents of each label, and chunks of each document, spread evenly over it
+#: the bound on the documents of each label that are learned from; they are learned from whole, this many chunks of one at a time
 PER_LABEL, CHUNKS = 1500, 16
 #: every so many documents of a label give an excerpt
 EXCERPTS = 4
@@ -102,6 +102,15 @@ def chunks_of(text: bytes) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(padded, (n, CHUNK), (STEP * 2, 2))
 
 
+def drawn_groups(n_chunks: int, turn: int, passes: int) -> list[slice]:
+    """The chunks of a text that pass ``turn`` learns from, as groups of at most CHUNKS spread evenly over it.
+
+    After all passes every chunk was in some group. A text with more groups than passes gives several in each.
+    """
+    groups = -(-n_chunks // CHUNKS)
+    return [slice(j, None, groups) for j in range(turn, groups, passes) or [turn % groups]]
+
+
 def train(texts: list[bytes], labels: list[int], seed: int = 11, passes: int = 10, batch: int = 32, rate: float = 0.01) -> Network:
     """Adam on the mean loss of small batches of documents.
 
@@ -112,23 +121,23 @@ def train(texts: list[bytes], labels: list[int], seed: int = 11, passes: int = 1
     for text, label in [x for own in (1, 0) for x in [y for y in long if y[1] == own][::EXCERPTS]]:
         begin, size = int(rng.integers(0, len(text) - 80)), int(rng.integers(4, 80))
         texts, labels = [*texts, text[begin : begin + size]], [*labels, label]
-    parts = []
-    for text in texts:
-        own = chunks_of(text)
-        parts.append(own[np.unique(np.linspace(0, len(own) - 1, CHUNKS).astype(int))])
+    # (text, chunks of it) of every pass; the chunks themselves are made a batch at a time
+    sizes = [len(chunks_of(t)) for t in texts]
+    turns = [[(i, part) for i, n in enumerate(sizes) for part in drawn_groups(n, turn, passes)] for turn in range(passes)]
     answers = np.array(labels, np.float32)
     share = float(np.clip(answers.mean(), 0.01, 0.99))
     network.w["out_bias"][:] = np.log(share / (1 - share))
     first = {n: np.zeros_like(x) for n, x in network.w.items()}
     second = {n: np.zeros_like(x) for n, x in network.w.items()}
-    step, steps = 0, passes * -(-len(parts) // batch)
+    step, steps = 0, sum(-(-len(items) // batch) for items in turns)
     network.w["out"][:] = rng.normal(0, 0.1, 2 * FILTERS)
-    for _ in range(passes):
-        order = rng.permutation(len(parts))
+    for items in turns:
+        order = rng.permutation(len(items))
         for a in range(0, len(order), batch):
-            mine = [parts[i] for i in order[a : a + batch]]
+            chosen = [items[i] for i in order[a : a + batch]]
+            mine = [chunks_of(texts[i])[part] for i, part in chosen]
             begins = np.cumsum([0, *[len(m) for m in mine[:-1]]])
-            _, g = network.gradients(np.concatenate(mine), begins, answers[order[a : a + batch]])
+            _, g = network.gradients(np.concatenate(mine), begins, answers[[i for i, _ in chosen]])
             step += 1
             size = rate * min(1.0, 2 * (1 - step / (steps + 1)))
             for name, x in g.items():
@@ -140,7 +149,7 @@ def train(texts: list[bytes], labels: list[int], seed: int = 11, passes: int = 1
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network | None:
-    """A network from the labelled documents that are not held out; None without both labels. Bounds: PER_LABEL and CHUNKS.
+    """A network from the labelled documents that are not held out; None without both labels. Bound: PER_LABEL documents of each.
 
     A doc_id with several labels counts with its smallest.
     """

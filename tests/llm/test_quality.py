@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from foldwise.llm.folds import held_out, sample
-from foldwise.llm.quality import CHUNK, PAD, PLACES, STRIDE, WIDTH, Network, chunks_of, learn, score, train
+from foldwise.llm.quality import CHUNK, CHUNKS, PAD, PLACES, STRIDE, WIDTH, Network, chunks_of, drawn_groups, learn, score, train
 
 SF = "/root/testdata/sf0.1"
 
@@ -68,6 +68,35 @@ def test_scores_by_hand(spark, network):
         assert r["score"] == pytest.approx(by_hand(network, (r["text"] or "").encode()), abs=1e-4) and r["predicted"] == (r["score"] >= 0.5)
 
 
+@pytest.mark.parametrize("n", [1, CHUNKS, CHUNKS + 1, 10 * CHUNKS, 10 * CHUNKS + 3, 4321])
+def test_every_chunk_is_learnt_from(n):
+    seen = np.zeros(n, int)
+    for turn in range(10):
+        for part in drawn_groups(n, turn, 10):
+            mine = np.arange(n)[part]
+            assert 0 < len(mine) <= CHUNKS and mine[0] < -(-n // CHUNKS) and mine[-1] >= n - -(-n // CHUNKS)  # spread over the text
+            seen[mine] += 1
+    assert seen.min() >= 1 and (n > CHUNKS or seen.min() == 10)
+
+
+def test_a_sign_anywhere_in_a_long_text_is_learnt():
+    """Texts of some 60 chunks differ in one stretch that no fixed choice of 16 chunks needs to meet."""
+    rng = np.random.default_rng(6)
+    words = [bytes(w) for w in rng.integers(97, 123, (60, 6)).astype(np.uint8)]
+
+    def text(label):
+        parts = [words[i] for i in rng.integers(0, 60, 2100)]
+        if not label:
+            at = int(rng.integers(0, 1900))
+            parts[at : at + 160] = [b"#$%@!&"] * 160
+        return b" ".join(parts)
+
+    labels = [int(i % 2) for i in range(160)]
+    network = train([text(y) for y in labels[:120]], labels[:120])
+    found = [network.probabilities(chunks_of(text(y)), np.array([0]))[0] >= 0.5 for y in labels[120:]]
+    assert np.mean([f == y for f, y in zip(found, labels[120:])]) > 0.9
+
+
 def test_gradients():
     rng = np.random.default_rng(1)
     network = Network(1)
