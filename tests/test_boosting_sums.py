@@ -142,3 +142,18 @@ def test_exact_on_few_values_and_dealt_by_feature(spark, monkeypatch):
         got = qs.column_quantiles(frame, 4, shares)
         assert all(np.array_equal(a, b) for a, b in zip(got, want))
     assert [len(a) for a in qs.column_quantiles(frame.limit(0), 4, shares)] == [0] * 4
+
+
+def test_a_task_may_begin_with_rows_a_fold_does_not_learn_from(spark, monkeypatch):
+    """As in a view stored by fold: the first chunk is all of the fold that evaluates on it."""
+    rng = np.random.default_rng(5)
+    x, target = rng.random((300, 3)), rng.integers(1, 4, 300).tolist()
+    rows = [(i, i // 100, target[i], *v) for i, v in enumerate(x.tolist())]
+    frame = spark.createDataFrame(rows, "id long, n_fold long, target long, feat_0 double, feat_1 double, feat_2 double").coalesce(1).sortWithinPartitions("n_fold", "id")
+    view = c.vectors(frame, ["feat_0", "feat_1", "feat_2"])
+    cuts = bo.cut_points(view, 3, 8)
+    options = bo.BoostedOptions(rate=0.5, depth=2, min_child=1.0, bins=8)
+    whole, losses = trees_of((bo.packed(view, P, cuts), cuts), options)
+    monkeypatch.setattr(bo, "CHUNK", 100)  # one fold in each
+    by_fold, again = trees_of((bo.packed(view, P, cuts), cuts), options)
+    assert same(whole, by_fold) and losses == pytest.approx(again)
