@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foldwise.operators.metrics import evaluate, evaluate_models, log_loss, merge_metrics, outcomes, roc_auc, tally, threshold_metrics, upsert_metrics
 from foldwise.operators.predict import mean_over_folds, submission, to_wide, unnest, unnest_positions
-from foldwise.operators.stacking import missing_predictions, stacking_test, stacking_vectors, wide_features
+from foldwise.operators.stacking import joined_arrays, missing_predictions, stacking_test, stacking_vectors, wide_features
 from foldwise.queries.tables import dataset
 from foldwise.schema import EVAL_SCHEMA, METRICS, Problem
 
@@ -48,6 +48,32 @@ def test_stacking_features_with_a_gap(spark):
     assert stacking_test(template, {"x_test_pred": a}, P).columns[:2] == ["id", "x_oof_pred_Class_1"]
 
 
+def test_stacked_tables_meet_in_one_join_with_few_buffers(spark):
+    template = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (3, 3), (None, 1)], "id long, target long")
+    expected = {t: {i: [i + t / 100 + k / 10 for k in P.labels] for i in (1, 2, 3, 9) if (i + t) % 4} for t in range(14)}
+    expected[3][2][1] = None  # a label without a row
+    tables = {}
+    for t, by_id in expected.items():
+        rows = [(i, k, p) for i, ps in by_id.items() for k, p in zip(P.labels, ps) if p is not None]
+        again = [(i, k, p - 1) for i, k, p in rows if i == 3]  # the largest of several counts
+        tables[f"t{t}"] = spark.createDataFrame([*rows, *again, (None, 1, 0.5)], "id long, label long, prob double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joined_arrays(template, tables, P)
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        executed = joined._jdf.queryExecution().executedPlan().toString()
+        rows = joined.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Join ") == 1 and executed.count("Exchange hashpartitioning") == 2
+    assert executed.count("HashAggregate(") == 2 and executed.count("Sort [") == 2
+    assert sorted((r.id or 0, r.target) for r in rows) == [(0, 1), (1, 1), (1, 2), (2, 2), (3, 3)]
+    for r in rows:
+        assert all(r[f"t{t}"] == by_id.get(r.id) for t, by_id in expected.items())
+    assert joined_arrays(template, {}, P).columns == ["id", "target"]
+
+
 def test_ties_go_to_the_smaller_label_and_absent_classes_do_not_count(spark):
     df = oof(spark, [(1, 0, 1, (0.4, 0.4, 0.2)), (2, 0, 2, (0.4, 0.4, 0.2)), (3, 0, 1, (0.1, 0.1, 0.8))])
     counts = {(r.target, r.predicted): r.n for r in outcomes(df, P).collect()}
