@@ -157,3 +157,66 @@ def test_a_task_may_begin_with_rows_a_fold_does_not_learn_from(spark, monkeypatc
     monkeypatch.setattr(bo, "CHUNK", 100)  # one fold in each
     by_fold, again = trees_of((bo.packed(view, P, cuts), cuts), options)
     assert same(whole, by_fold) and losses == pytest.approx(again)
+
+
+def test_a_level_is_merged_by_several_tasks_and_equal_splits_go_to_the_first_column(state, monkeypatch):
+    """Splits of a level were found one by one in a single task unless sums were large."""
+    parts, plain = [], bo.split_nodes
+
+    def counted(*args):
+        out = plain(*args)
+        parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(bo, "split_nodes", counted)
+    monkeypatch.setattr(bo, "NODES_PER_TASK", 8)
+    several, _ = trees_of(state, OPTIONS)
+    assert parts[0] == 2 and max(parts) == 6
+    monkeypatch.setattr(bo, "NODES_PER_TASK", 1 << 20)
+    assert same(several, trees_of(state, OPTIONS)[0]) and parts[-1] == 1
+    rng = np.random.default_rng(2)
+    sums = np.abs(rng.normal(size=(5, 1, 16, 2)))
+    twice = np.concatenate([sums, sums * (1 + 1e-13)], axis=1)
+    feature, cut, gain = bo.best_splits(twice, OPTIONS)
+    for i in range(5):
+        one = [v[0] for v in bo.best_splits(sums[i : i + 1], OPTIONS)]
+        assert (feature[i], cut[i]) == (one[0], one[1]) and gain[i] == pytest.approx(one[2])
+
+
+def test_rows_of_one_file_are_boosted_by_all_tasks_that_run(spark, monkeypatch):
+    """A view stored by fold has few files; a task took whole ones."""
+    rng = np.random.default_rng(6)
+    x, target = rng.random((400, 2)), rng.integers(1, 4, 400).tolist()
+    frame = spark.createDataFrame([(i, i % 3, target[i], *v) for i, v in enumerate(x.tolist())], "id long, n_fold long, target long, feat_0 double, feat_1 double")
+    seen, plain = [], bo.grown
+
+    def noted(state, *args):
+        seen.append(state.rdd.getNumPartitions())
+        return plain(state, *args)
+
+    monkeypatch.setattr(bo, "grown", noted)
+    monkeypatch.setattr(bo, "ROWS_PER_TASK", 100)
+    bo.fit_forests(c.vectors(frame.coalesce(1), ["feat_0", "feat_1"]), P, bo.BoostedOptions(rounds=1, depth=2, bins=8))
+    assert seen == [4]
+
+
+def test_rows_are_packed_in_even_parts_across_batches():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(a, b))], names=["n"]) for a, b in ((0, 3), (3, 3), (3, 10), (10, 11))]
+    found = [b.column("n").to_pylist() for b in bo._of_size(iter(batches), 4)]
+    assert found == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9, 10]]
+
+
+def test_walks_end_where_the_tree_does():
+    rng = np.random.default_rng(9)
+    feature = np.where(rng.random(31) < 0.7, rng.integers(0, 6, 31), -1)
+    feature[15:] = -1
+    for node in range(1, 31):
+        feature[node] = -1 if feature[(node - 1) // 2] < 0 else feature[node]
+    cut, value = rng.integers(0, 9, 31), rng.normal(size=31)
+    x = rng.integers(0, 10, (200, 6)).astype(np.uint8)
+    rows = np.arange(0, 200, 3)
+    want = value[bo.descended((feature[None], cut[None]), x[rows], 4)[:, 0]]
+    got = bo._lowered(bo.Tree(feature, cut, value), 4).take(bo.walked(feature, cut, x, rows, 4))
+    assert got == pytest.approx(want, abs=1e-6)
