@@ -8,7 +8,7 @@ from foldwise import fixtures as fx
 from foldwise.operators import logistic_fit as lf
 from foldwise.operators import network_fit as nf
 from foldwise.operators.classifiers import DNN, vectors
-from foldwise.sources.scratch import spread
+from foldwise.sources.scratch import spread, stored
 
 
 def test_letters_are_those_of_the_lower_cased_text(spark):
@@ -50,6 +50,25 @@ def test_folds_that_share_products_have_their_own_losses_and_gradients(spark):
         assert found[k][1] == pytest.approx(np.concatenate([(z.T @ p).ravel(), p.sum(axis=0)]) / len(y), abs=1e-8)
 
 
+def test_a_network_is_the_mean_of_few_tasks_that_have_seen_many_rows(spark):
+    """Three models of 80 rows each on three tasks: a task takes all steps of one of them."""
+    rows = [(i, i % 3, 1 + i % 2, float(i % 5)) for i in range(120)]
+    view = vectors(spark.createDataFrame(rows, "id long, n_fold long, target long, a double").repartition(3), ["a"])
+    frame, options = stored(nf.training_rows(view, 1), "t"), nf.NetworkOptions(hidden=(4,), batch_rows=10)
+    assert frame.rdd.getNumPartitions() == 3
+    scalers = {k: ([2.0], [1.4]) for k in range(3)}
+    begun = {k: nf.Fit.begun(nf.Weights.drawn((1, 4, 2), 0, k)) for k in range(3)}
+    after, losses = nf.trained(frame, begun, scalers, options, 0, tasks=3)
+    assert {k: f.steps for k, f in after.items()} == {0: 8, 1: 8, 2: 8}
+    assert all(n == 40 for _, n in losses.values())
+    dealt = nf.shares(frame, [0, 1, 2], 3).withColumn("task", F.spark_partition_id())
+    assert [r["n"] for r in dealt.groupBy("task").agg(F.count_distinct("model").alias("n")).collect()] == [1, 1, 1]
+    assert dealt.count() == 360
+    # without a number of tasks, each part of the rows is one for every model
+    spread_out, same = nf.trained(frame, begun, scalers, options, 0)
+    assert all(f.steps < 4 for f in spread_out.values()) and same == {k: (pytest.approx(v), n) for k, (v, n) in losses.items()}
+
+
 def test_what_tasks_may_send_unmerged_stays_far_below_the_drivers_limit():
     """Four networks of as many passes as they may take."""
     assert 4 * DNN.max_iter * nf.COLLECTED_BYTES < 500e6
