@@ -233,3 +233,20 @@ def test_a_refit_makes_later_tables_stale(run, spark):
     # new rows make everything stale
     again.load(run.tables.read("train_folds").filter("id < 40").select("id", "feat_1", "feat_2", F.concat(F.lit("Class_"), "target").alias("target")), run.tables.read("test"))
     assert fresh() == [False] * 5
+
+
+def test_variants_are_fitted_side_by_side_and_long_ones_behind_the_others(run, monkeypatch):
+    """One after the other, most of a pass over few rows was waiting."""
+    meet, done = Barrier(2), []
+
+    def fit(variant):
+        if variant.model != "nn":
+            meet.wait(60)
+        done.append(variant.model)
+
+    monkeypatch.setattr(run, "fit", fit)
+    run.first_level()
+    assert done == ["logistic", "logistic"]
+    done.clear()
+    run.side_by_side(fit, [Variant("nn"), Variant("logistic"), Variant("dnn", True)])
+    assert sorted(done[:2]) == ["dnn", "logistic"] and done[2] == "nn"
